@@ -77,10 +77,10 @@ def last_steps(df: DataFrame, hours: int = 720) -> DataFrame:
     """Rows of the last ``hours`` steps, both ends included.
 
     The newest step is a scalar subquery: one small aggregate, and the window reaches
-    the rows as a plain filter instead of a join.
+    the rows as a plain filter instead of a join. No row lies beyond the newest step.
     """
     newest = df.agg(F.max("step")).scalar()
-    return df.filter(F.col("step").between(newest - hours, newest))
+    return df.filter(F.col("step") >= newest - hours)
 
 
 def fraud_over_time(gold: DataFrame, anchor_ts: datetime | str, hours: int = 720) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -11,7 +11,7 @@ from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
     SQLTransformer,
-    StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -39,65 +39,77 @@ def split(df: DataFrame, pct: int = 80, seed: int = 0) -> tuple[DataFrame, DataF
     return df.filter(draw < pct), df.filter(draw >= pct)
 
 
-def most_frequent(df: DataFrame, columns: Iterable[str] = CATEGORICAL) -> dict[str, str]:
-    """Most frequent value per column (smallest on ties), NULL ignored.
+def category_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
+    """Distinct values per column, most frequent first (by value on ties), NULL left out.
 
-    Counts per value first, so the reduction per column sees distinct values only.
+    One pass; what reaches the driver is one row per category, as many as the model
+    has one-hot inputs.
     """
-    columns = list(columns)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns]))
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
+    )
     counts = df.select(pairs.alias("p")).filter("p.v IS NOT NULL").groupBy("p.c", "p.v").count()
-    best = counts.groupBy("c").agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("v"))
-    return {r["c"]: r["v"] for r in best.collect()}
+    values: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counts.orderBy("c", F.desc("count"), "v").collect():
+        values[row["c"]].append(row["v"])
+    return values
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def fit_preprocessing(train: DataFrame) -> list:
     """Fitted stages: medians, most frequent categories, one-hot codes, assembly.
 
-    A category unseen in training becomes an all-zero code.
+    A category unseen in training becomes an all-zero code. Two passes over ``train``.
     """
-    fills = most_frequent(train)
+    values = category_values(train)
     filled = ", ".join(
-        "coalesce({0}, '{1}') AS {0}_f".format(
-            c, fills.get(c, "").replace("\\", "\\\\").replace("'", "\\'")
-        )
+        f"coalesce({c}, {_quoted(values[c][0])}) AS {c}_f" if values[c] else f"{c} AS {c}_f"
         for c in CATEGORICAL
     )
     numbers = [f"{c}_f" for c in NUMERIC]
     index = [f"{c}_i" for c in CATEGORICAL]
     code = [f"{c}_v" for c in CATEGORICAL]
+    imputer = Imputer(strategy="median", inputCols=list(NUMERIC), outputCols=numbers).fit(train)
+    # One model per column: label lists of unequal length do not fit one model.
+    indexers = [
+        StringIndexerModel.from_labels(
+            sorted(values[c]), inputCol=f"{c}_f", outputCol=f"{c}_i", handleInvalid="keep"
+        )
+        for c in CATEGORICAL
+    ]
+    # Sizes come from the indexer's column metadata; the dropped last slot is the one
+    # for unseen values.
+    encoder = OneHotEncoder(inputCols=index, outputCols=code, dropLast=True)
     stages = [
-        Imputer(strategy="median", inputCols=list(NUMERIC), outputCols=numbers),
+        imputer,
         SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-        StringIndexer(
-            inputCols=[f"{c}_f" for c in CATEGORICAL],
-            outputCols=index,
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ),
-        # The dropped last slot is the one for unseen values.
-        OneHotEncoder(inputCols=index, outputCols=code, dropLast=True),
+        *indexers,
+    ]
+    return [
+        *stages,
+        encoder.fit(PipelineModel(stages).transform(train.limit(0))),
         VectorAssembler(inputCols=[*numbers, *code], outputCol="features"),
     ]
-    fitted, rows = [], train
-    for stage in stages:
-        model = stage.fit(rows) if hasattr(stage, "fit") else stage
-        rows = model.transform(rows)
-        fitted.append(model)
-    return fitted
 
 
 def _forest(trees: int, depth: int, seed: int) -> RandomForestClassifier:
-    # Node ids are spilled to checkpoints only where the session has a shared folder.
     return RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features"
     )
 
 
 def fit_rf(train: DataFrame, trees: int = 10, depth: int = 10, seed: int = 0) -> PipelineModel:
-    stages = fit_preprocessing(train)
-    ready = PipelineModel(stages).transform(train).select("label", "features")
-    return PipelineModel([*stages, _forest(trees, depth, seed).fit(ready)])
+    """Preprocessing and random forest in one model. ``train`` is read once and kept."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stages = fit_preprocessing(train)
+        ready = PipelineModel(stages).transform(train).select("label", "features")
+        return PipelineModel([*stages, _forest(trees, depth, seed).fit(ready)])
+    finally:
+        train.unpersist()
 
 
 def predict(df: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
@@ -160,6 +172,7 @@ def grid_search(
 ) -> tuple[DataFrame, dict[tuple[int, int], PipelineModel]]:
     """(one metrics row per setting, models). Features are prepared once for all fits."""
     spark = train.sparkSession
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     stages = fit_preprocessing(train)
     prep = PipelineModel(stages)
     ready = prep.transform(train).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -172,8 +185,8 @@ def grid_search(
             metrics = evaluate(forest.transform(held_out)).first().asDict()
             rows.append({"n_estimators": trees, "max_depth": depth, **metrics})
     finally:
-        ready.unpersist()
-        held_out.unpersist()
+        for kept in (train, ready, held_out):
+            kept.unpersist()
     schema = "n_estimators int, max_depth int, tn long, fp long, fn long, tp long, " + ", ".join(
         f"{m} double" for m in ("accuracy", "precision", "recall", "f1", "auc")
     )

@@ -48,11 +48,21 @@ def _share(part, whole, digits: int):
     return F.when(whole > 0, F.round(part / whole, digits)).otherwise(F.lit(0.0))
 
 
+def _counted(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows and frauds per key, from gold or from counts of a finer grouping."""
+    if "fraud_count" in rows.columns:
+        count, frauds = F.sum("count"), F.sum("fraud_count")
+    else:
+        count, frauds = F.count(F.lit(1)), F.count_if("is_fraud")
+    zero = F.lit(0).cast("bigint")
+    return rows.groupBy(*keys).agg(
+        F.coalesce(count, zero).alias("count"), F.coalesce(frauds, zero).alias("fraud_count")
+    )
+
+
 def type_frequencies(gold: DataFrame) -> DataFrame:
     """Rows, frauds and share of all rows per type, most frequent first."""
-    counts = gold.groupBy("type").agg(
-        F.count(F.lit(1)).alias("count"), F.count_if("is_fraud").alias("fraud_count")
-    )
+    counts = _counted(gold, "type")
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("weight", _share(F.col("count"), total, 6)).orderBy(
         F.desc("count"), "type"
@@ -61,12 +71,8 @@ def type_frequencies(gold: DataFrame) -> DataFrame:
 
 def country_pairs(gold: DataFrame, n: int = 80) -> DataFrame:
     """Most frequent country pairs; weights are shares of these ``n`` pairs' total."""
-    pairs = (
-        gold.groupBy("countryOrig_name", "countryDest_name")
-        .agg(F.count(F.lit(1)).alias("count"), F.count_if("is_fraud").alias("fraud_count"))
-        .orderBy(F.desc("count"), "countryOrig_name", "countryDest_name")
-        .limit(n)
-    )
+    keys = ("countryOrig_name", "countryDest_name")
+    pairs = _counted(gold, *keys).orderBy(F.desc("count"), *keys).limit(n)
     # At most n rows are left, so one task may hold them all.
     total = F.sum("count").over(Window.partitionBy(F.lit(1)))
     return pairs.withColumns(
@@ -74,15 +80,14 @@ def country_pairs(gold: DataFrame, n: int = 80) -> DataFrame:
             "weight": _share(F.col("count"), total, 6),
             "fraud_rate": _share(F.col("fraud_count"), F.col("count"), 4),
         }
-    ).orderBy(F.desc("count"), "countryOrig_name", "countryDest_name")
+    ).orderBy(F.desc("count"), *keys)
 
 
 def overall_stats(gold: DataFrame) -> DataFrame:
-    sums = gold.agg(
-        F.count(F.lit(1)).alias("total_transactions"), F.count_if("is_fraud").alias("total_fraud")
-    )
-    return sums.withColumn(
-        "fraud_rate", _share(F.col("total_fraud"), F.col("total_transactions"), 6)
+    return _counted(gold).select(
+        F.col("count").alias("total_transactions"),
+        F.col("fraud_count").alias("total_fraud"),
+        _share(F.col("fraud_count"), F.col("count"), 6).alias("fraud_rate"),
     )
 
 
@@ -94,15 +99,23 @@ def customer_lookup(customers: DataFrame) -> DataFrame:
 
 
 def write_profile(gold: DataFrame, path: str, profiled_at: datetime | None = None) -> None:
-    """Write each section, and the time it was made, as JSON below ``path``."""
+    """Write each section, and the time it was made, as JSON below ``path``.
+
+    Two passes over gold: one for the numeric features, one for counts per type and
+    country pair, from which the other sections are summed up.
+    """
+    counts = _counted(gold, "type", "countryOrig_name", "countryDest_name").persist()
     sections = {
-        "overall": overall_stats(gold),
-        "type_frequencies": type_frequencies(gold),
         "numeric_profiles": numeric_profile(gold),
-        "country_pairs": country_pairs(gold),
+        "overall": overall_stats(counts),
+        "type_frequencies": type_frequencies(counts),
+        "country_pairs": country_pairs(counts),
     }
-    for name, section in sections.items():
-        section.write.mode("overwrite").json(f"{path}/{name}")
+    try:
+        for name, section in sections.items():
+            section.write.mode("overwrite").json(f"{path}/{name}")
+    finally:
+        counts.unpersist()
     at = F.lit(profiled_at) if profiled_at else F.current_timestamp()
     gold.sparkSession.range(1).select(at.alias("profiled_at")).write.mode("overwrite").json(
         f"{path}/metadata"
