@@ -27,9 +27,10 @@ def heavy_keys(df: DataFrame, columns: Sequence[str], support: float = 0.01) ->
 
 
 def skew_hints(
-    df: DataFrame, columns: Sequence[str], min_bytes: int = LOOK_FOR_SKEW_BYTES
+    df: DataFrame, columns: Sequence[str], min_bytes: int | None = None
 ) -> dict[str, list] | None:
     """Heavy keys of a large batch input; ``None`` where the input is small or a stream."""
+    min_bytes = LOOK_FOR_SKEW_BYTES if min_bytes is None else min_bytes
     if df.isStreaming or input_bytes(df.select(*columns)) < min_bytes:
         return None
     return heavy_keys(df, columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerscope.functions.skew import one_per_key
@@ -25,26 +25,37 @@ def current_state(
     return last_changes(log, key, seq, change).filter(F.col(change) != "delete")
 
 
+def _last_positions(log: DataFrame, key: str, seq: str, change: str) -> DataFrame:
+    """Per key: rows, and the newest position of any state and of a delete.
+
+    Positions are plain numbers, so this is a hash aggregate with map-side combine; no
+    row content is carried.
+    """
+    state, gone = F.col(change).isin(*STATE_CHANGES), F.col(change) == "delete"
+    return log.groupBy(key).agg(
+        F.count(F.lit(1)).alias("changes"),
+        F.max(F.when(state, F.col(seq))).alias("newest"),
+        F.max(F.when(gone, F.col(seq))).alias("deleted"),
+    )
+
+
+def _alive() -> Column:
+    return F.col("newest") > F.coalesce(F.col("deleted"), F.col("newest") - 1)
+
+
 def newest_key(
     log: DataFrame, key: str = "id", seq: str = "_lsn", change: str = "_change_type"
 ) -> DataFrame:
     """The surviving key that changed last (no row on an empty log)."""
-    live = current_state(log.select(key, seq, change), key, seq, change)
-    return live.orderBy(F.desc(seq), key).limit(1).select(key)
+    live = _last_positions(log, key, seq, change).filter(_alive())
+    return live.orderBy(F.desc("newest"), key).limit(1).select(key)
 
 
 def cdc_row_counts(
     log: DataFrame, key: str = "id", seq: str = "_lsn", change: str = "_change_type"
 ) -> DataFrame:
     """(history_rows, live_rows) from a single scan of the log."""
-    carries = F.col(change).isin(*STATE_CHANGES)
-    per_key = log.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max_by(
-            F.when(carries, F.col(change)), F.when(carries, F.struct(seq))
-        ).alias("last_change"),
-    )
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("history_rows"),
-        F.count_if(F.col("last_change") != "delete").alias("live_rows"),
+    return _last_positions(log, key, seq, change).agg(
+        F.coalesce(F.sum("changes"), F.lit(0)).alias("history_rows"),
+        F.count_if(_alive()).alias("live_rows"),
     )
