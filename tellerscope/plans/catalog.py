@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellerscope.functions import columns as C
 from tellerscope.operators import analytics, cdc, live, medallion, ml, profile, risk
+from tellerscope.plans import pipeline
 from tellerscope.plans.bank_tables import Bank, scored_from
 from tellerscope.schemas import BRONZE
 from tellerscope.session import work_dir
@@ -107,6 +108,141 @@ def ingest_fraud_reports(b: Bank) -> DataFrame:
     return b.spark.read.parquet(target).select("id", "is_fraud")
 
 
+@query
+def ingest_include_existing(b: Bank) -> DataFrame:
+    """Files there before the first start are skipped, later ones are taken."""
+    landing, target = _landed(b, FIRST_FILES), work_dir(b.spark, "bronze")
+    for part in (None, ("part-2.csv",), ("part-3.csv",)):
+        if part:
+            rows = b.bronze.filter(F.col("source_file").isin(*part))
+            texts = rows.select(*[F.col(c).cast("string") for c in BRONZE.fieldNames()])
+            texts.write.mode("append").option("header", True).csv(landing)
+        files.ingest_files(
+            b.spark, landing, BRONZE, target, f"{target}-checkpoint", include_existing=False
+        )
+    return _typed(b.spark.read.parquet(target)).select("id", "type", "amount")
+
+
+@query
+def ingest_infer_types(b: Bank) -> DataFrame:
+    landing, target = _landed(b), work_dir(b.spark, "bronze")
+    schema = files.infer_schema(b.spark, landing)
+    files.ingest_files(b.spark, landing, schema, target, f"{target}-checkpoint")
+    loaded = b.spark.read.parquet(target)
+    return loaded.select(F.col("id").cast("bigint").alias("id"), "step", "amount", "oldBalanceOrig")
+
+
+def _new_table(b: Bank, purpose: str) -> tuple[str, str]:
+    """A free table name and a folder in the shared work folder for its data."""
+    location = work_dir(b.spark, purpose)
+    return location.rsplit("/", 1)[-1].replace("-", "_"), location
+
+
+def _stored(b: Bank, table: str, location: str) -> DataFrame:
+    """Rows of an external table, which stay readable when the name is dropped."""
+    tables.drop_pipeline(b.spark, tables=[table])
+    return b.spark.read.parquet(location)
+
+
+@query
+def load_static(b: Bank) -> DataFrame:
+    path = work_dir(b.spark, "customers")
+    b.customers.write.json(path)
+    table, location = _new_table(b, "static")
+    loaded = [files.load_static(b.spark, path, table, "json", location=location) for _ in range(2)]
+    rows = _stored(b, table, location)
+    return rows.select(
+        "id", "email", "country", F.lit(loaded[0]).alias("first"), F.lit(loaded[1]).alias("second")
+    )
+
+
+@query
+def replace_static(b: Bank) -> DataFrame:
+    path = work_dir(b.spark, "countries")
+    files.export_csv(b.countries, path)
+    table, location = _new_table(b, "static")
+    for _ in range(2):
+        files.replace_static(b.spark, path, table, location=location)
+    return _stored(b, table, location)
+
+
+@query
+def read_headerless(b: Bank) -> DataFrame:
+    path = work_dir(b.spark, "headerless")
+    b.reports.write.csv(path)
+    rows = files.read_files(b.spark, path, header=False)
+    return rows.select(F.col("_c0").cast("bigint").alias("_c0"), "_c1")
+
+
+@query
+def rescue_bad_rows(b: Bank) -> DataFrame:
+    """Every row of one type is cut short; its text is kept beside what could be read."""
+    path = work_dir(b.spark, "ragged")
+    whole = F.concat_ws(",", "id", "type", F.col("step").cast("string"), "customer_id")
+    cut = F.concat_ws(",", "id", "type")
+    line = F.when(F.col("type") == "DEBIT", cut).otherwise(whole)
+    b.bronze.select(line.alias("value")).write.text(path)
+    schema = T.StructType(
+        [
+            T.StructField("id", T.StringType()),
+            T.StructField("type", T.StringType()),
+            T.StructField("step", T.IntegerType()),
+            T.StructField("customer_id", T.StringType()),
+        ]
+    )
+    # Kept once: Spark cannot answer from the rescued column alone.
+    return files.read_with_rescue(b.spark, path, schema, header=False).withColumnRenamed(
+        files.RESCUED, "rescued"
+    )
+
+
+@query
+def pull_columns_overwrite(b: Bank) -> DataFrame:
+    path = work_dir(b.spark, "reports")
+    files.export_csv(b.reports.withColumn("unused", F.lit("x")), path)
+    table, location = _new_table(b, "pulled")
+    for _ in range(2):
+        files.pull_csv(b.spark, path, table, ["is_fraud", "id"], location=location)
+    return _stored(b, table, location).withColumn("id", F.col("id").cast("bigint"))
+
+
+@query
+def csv_single_file(b: Bank) -> DataFrame:
+    path = work_dir(b.spark, "export")
+    files.export_csv(profile.type_frequencies(b.gold), path, single=True)
+    rows = files.read_files(b.spark, path)
+    parts = rows.select(F.col("_metadata.file_path")).distinct().count()
+    return rows.select(
+        "type", F.col("count").cast("bigint").alias("count"), F.lit(parts).alias("parts")
+    )
+
+
+@query
+def drop_objects(b: Bank) -> DataFrame:
+    table, location = _new_table(b, "silver")
+    b.silver.write.option("path", location).saveAsTable(table)
+    b.gold.createOrReplaceTempView(f"{table}_gold")
+    names = {"table": table, "view": f"{table}_gold"}
+    before = {kind: b.spark.catalog.tableExists(name) for kind, name in names.items()}
+    for _ in range(2):  # dropping what is not there is no error
+        tables.drop_pipeline(b.spark, [table], [f"{table}_gold"])
+    after = {kind: b.spark.catalog.tableExists(name) for kind, name in names.items()}
+    return b.spark.createDataFrame(
+        [(kind, before[kind], after[kind]) for kind in names],
+        "kind string, before boolean, after boolean",
+    )
+
+
+@query
+def reset_scored(b: Bank) -> DataFrame:
+    target = work_dir(b.spark, "scored")
+    tables.insert_if_absent(b.scored, target, 0)
+    before = tables.read_scored(b.spark, target).count()
+    tables.reset(b.spark, target)
+    left = tables.read_scored(b.spark, target)
+    return left.agg(F.count(F.lit(1)).alias("rows_left")).withColumn("rows_before", F.lit(before).cast("bigint"))
+
+
 @query
 def parse_json_messages(b: Bank) -> DataFrame:
     k = F.col("k")
@@ -195,6 +331,7 @@ simple("large_amount", lambda b: analytics.large_amount(b.gold).select("id", "am
 simple("customer_large_txns", lambda b: analytics.customer_large(b.gold, EMAIL, 100_000).select(
     "id", "nameOrig", "nameDest", "type", "amount"
 ))
+simple("sample_rows", lambda b: analytics.top(b.bronze, 10, "id"))
 simple("codes_like", lambda b: analytics.distinct_codes(b.countries, "N1%"))
 
 
@@ -345,6 +482,37 @@ def explain_transaction_risk(b: Bank) -> DataFrame:
     )
 
 
+@query
+def explain_sql_functions(b: Bank) -> DataFrame:
+    """The SQL table functions, called by SQL text."""
+    risk.register_functions(b.spark, b.gold, b.history)
+    calls = (
+        ("explain_transaction_risk", FOUND_ID),
+        ("explain_transaction_risk", "no such id"),
+        ("explain_live_transaction_risk", LIVE_ID),
+        ("explain_live_transaction_risk", DELETED_ID),
+    )
+    return b.spark.sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS function, '{key}' AS asked, risk_score, "
+        f"features['found_count'] AS found_count FROM {name}('{key}')"
+        for name, key in calls
+    ))
+
+
+@query
+def sql_views(b: Bank) -> DataFrame:
+    """SQL over the registered views of the bank's tables."""
+    pipeline.register_views(
+        b.spark, b.bronze, b.reports, b.countries, b.customers,
+        silver_rows=b.silver, change_log=b.history, scored=b.scored,
+    )
+    return b.spark.sql("""
+        SELECT 'gold' AS name, type, count(*) AS n FROM gold_transactions GROUP BY type
+        UNION ALL SELECT 'live', type, count(*) FROM live_transactions GROUP BY type
+        UNION ALL SELECT 'scored', type, count(*) FROM scored_transactions GROUP BY type
+    """)
+
+
 @query
 def explain_live_transaction_risk(b: Bank) -> DataFrame:
     stats = risk.baseline(b.gold)

@@ -241,6 +241,24 @@ QUERIES = {
   countryDest, oldBalanceOrig, newBalanceOrig, oldBalanceDest, newBalanceDest FROM bronze_transactions""",
     "ingest_provenance": "SELECT o_orderkey, true AS has_file, true AS has_time FROM orders",
     "ingest_fraud_reports": "SELECT id, is_fraud FROM fraud_reports",
+    "ingest_include_existing": """SELECT id, type, amount FROM bronze_transactions
+WHERE source_file NOT IN ('part-0.csv', 'part-1.csv')""",
+    "ingest_infer_types": """SELECT CAST(id AS BIGINT) AS id, step, amount, oldBalanceOrig
+FROM bronze_transactions""",
+    "load_static": """SELECT id, email, country, true AS first, false AS second
+FROM banking_customers""",
+    "replace_static": "SELECT * FROM country_coordinates",
+    "read_headerless": "SELECT CAST(id AS BIGINT) AS _c0, is_fraud AS _c1 FROM fraud_reports",
+    "rescue_bad_rows": """SELECT id, type, CASE WHEN type <> 'DEBIT' THEN step END AS step,
+  CASE WHEN type <> 'DEBIT' THEN customer_id END AS customer_id,
+  CASE WHEN type = 'DEBIT' THEN id || ',' || type END AS rescued FROM bronze_transactions""",
+    "pull_columns_overwrite": "SELECT is_fraud, CAST(id AS BIGINT) AS id FROM fraud_reports",
+    "csv_single_file": """SELECT type, count(*) AS count, CAST(1 AS INT) AS parts
+FROM gold_transactions GROUP BY type""",
+    "drop_objects": """SELECT kind, count(*) > 0 AS before, false AS after
+FROM silver_transactions, (VALUES ('table'), ('view')) AS k(kind) GROUP BY kind""",
+    "reset_scored": """SELECT CAST(0 AS BIGINT) AS rows_left, count(*) AS rows_before
+FROM scored_transactions""",
     "parse_json_messages": """SELECT k AS id, type, amount, CAST(o_custkey AS INT) AS customer_id,
   oldBalanceOrig AS old_balance_orig, CAST(NULL AS STRING) AS firstname
 FROM txn_base WHERE k % 17 <> 0 AND k % 13 <> 0""",
@@ -269,6 +287,7 @@ WHERE country = 'N05'""",
     "large_amount": f"SELECT id, amount, is_fraud FROM gold_transactions WHERE {LARGE}",
     "customer_large_txns": """SELECT id, nameOrig, nameDest, type, amount FROM gold_transactions
 WHERE email = 'c7@example.org' AND amount > 100000 ORDER BY id LIMIT 50""",
+    "sample_rows": "SELECT * FROM bronze_transactions ORDER BY id LIMIT 10",
     "codes_like": """SELECT DISTINCT alpha3_code FROM country_coordinates
 WHERE alpha3_code LIKE 'N1%'""",
     "expectations": f"""SELECT rule, on_violation, violations, total_rows FROM (
@@ -393,6 +412,17 @@ ORDER BY scored_at DESC, id DESC LIMIT 50""",
     "explain_live_transaction_risk": ", " + _explained(
         LIVE_RISK, "15", ("11", "Transaction id not found in live_transactions.")
     ),
+    "explain_sql_functions": f""", {GOLD_RISK}, gold_told AS (SELECT * FROM told), live_told AS (
+  SELECT * FROM (WITH {LIVE_RISK} SELECT * FROM told)
+) SELECT 'explain_transaction_risk' AS function, '10' AS asked, risk_score,
+  CAST(found_count AS STRING) AS found_count FROM gold_told WHERE id = '10'
+UNION ALL SELECT 'explain_live_transaction_risk', '15', risk_score, CAST(found_count AS STRING)
+  FROM live_told WHERE id = 15
+UNION ALL SELECT 'explain_transaction_risk', 'no such id', 0, '0'
+UNION ALL SELECT 'explain_live_transaction_risk', '11', 0, '0'""",
+    "sql_views": f"""SELECT 'gold' AS name, type, count(*) AS n FROM gold_transactions GROUP BY type
+UNION ALL SELECT 'live', type, count(*) FROM ({CURRENT}) GROUP BY type
+UNION ALL SELECT 'scored', type, count(*) FROM scored_transactions GROUP BY type""",
     "live_risk_scores": f", {LIVE_RISK} SELECT id, risk_score FROM scored",
     "split": """SELECT id, CASE WHEN CAST('0x' || substr(md5('0:' || id), 1, 7) AS BIGINT) % 100 < 80
   THEN 'train' ELSE 'test' END AS part FROM gold_transactions""",

@@ -128,14 +128,27 @@ def ingest_files(
     return query
 
 
+def _save(rows: DataFrame, target: str, mode: str, location: str | None) -> None:
+    writer = rows.write.mode(mode)
+    (writer.option("path", location) if location else writer).saveAsTable(target)
+
+
 def load_static(
-    spark: SparkSession, path: str, target: str, fmt: str = "csv", header: bool = True
+    spark: SparkSession,
+    path: str,
+    target: str,
+    fmt: str = "csv",
+    header: bool = True,
+    location: str | None = None,
 ) -> bool:
-    """Create a table from files; ``False``, and nothing changed, if it is there already."""
+    """Create a table from files; ``False``, and nothing changed, if it is there already.
+
+    ``location`` keeps the table's data in a folder of its own, outside the warehouse.
+    """
     if spark.catalog.tableExists(target):
         return False
     try:
-        read_files(spark, path, fmt, header).write.mode("errorifexists").saveAsTable(target)
+        _save(read_files(spark, path, fmt, header), target, "errorifexists", location)
         return True
     except AnalysisException as error:
         print(f"table {target} not created: {error}")
@@ -143,11 +156,15 @@ def load_static(
 
 
 def replace_static(
-    spark: SparkSession, path: str, target: str, fmt: str = "csv", header: bool = True
+    spark: SparkSession,
+    path: str,
+    target: str,
+    fmt: str = "csv",
+    header: bool = True,
+    location: str | None = None,
 ) -> None:
     """Create the table anew from files, without rescued content."""
-    rows = read_files(spark, path, fmt, header).drop(RESCUED)
-    rows.write.mode("overwrite").saveAsTable(target)
+    _save(read_files(spark, path, fmt, header).drop(RESCUED), target, "overwrite", location)
 
 
 def pull_csv(
@@ -156,12 +173,13 @@ def pull_csv(
     target: str,
     columns: Sequence[str] | None = None,
     fmt: str = "csv",
+    location: str | None = None,
 ) -> None:
     """Overwrite a table with some columns of a CSV location. Only CSV is handled."""
     if fmt != "csv":
         raise ValueError(f"unhandled file format: {fmt}")
     rows = read_files(spark, path)
-    (rows.select(*columns) if columns else rows).write.mode("overwrite").saveAsTable(target)
+    _save(rows.select(*columns) if columns else rows, target, "overwrite", location)
 
 
 def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
