@@ -10,7 +10,7 @@ BALANCES = ("newBalanceOrig", "oldBalanceOrig", "newBalanceDest", "oldBalanceDes
 
 def to_double(name: str) -> Column:
     """Text to double; unparseable text becomes NULL instead of failing the job."""
-    return F.col(name).try_cast("double")
+    return F.expr(f"try_cast(`{name}` AS double)")
 
 
 def money(col: Column | str) -> Column:
@@ -24,7 +24,7 @@ def money_sum(col: Column | str) -> Column:
 
 def clean_code(name: str) -> Column:
     """Country code without any ``--`` mark."""
-    return F.replace(F.col(name), F.lit("--"), F.lit("")).alias(name)
+    return F.expr(f"replace(`{name}`, '--', '')")
 
 
 def fraud_flag(col: Column | str) -> Column:
@@ -32,11 +32,6 @@ def fraud_flag(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(0)).cast("boolean")
 
 
-def ones(condition: Column) -> Column:
-    """Rows where ``condition`` holds; 0 on empty input."""
-    return F.count_if(condition)
-
-
 def clean_countries(df: DataFrame) -> DataFrame:
     return df.withColumns({c: clean_code(c) for c in ("countryOrig", "countryDest")})
 
@@ -48,8 +43,8 @@ def cast_balances(df: DataFrame) -> DataFrame:
 def balance_deltas(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "diffOrig": F.col("newBalanceOrig") - F.col("oldBalanceOrig"),
-            "diffDest": F.col("newBalanceDest") - F.col("oldBalanceDest"),
+            "diffOrig": F.expr("newBalanceOrig - oldBalanceOrig"),
+            "diffDest": F.expr("newBalanceDest - oldBalanceDest"),
         }
     )
 

@@ -26,6 +26,11 @@ TXN_SPREAD = ("nameDest", "amount", "step")
 Hints = dict[str, list] | None
 
 
+def _hints(given: Hints, df: DataFrame, key: str) -> dict[str, list]:
+    """Heavy keys as given by the caller (who may know there are none), else looked for."""
+    return (skew_hints(df, [key]) or {}) if given is None else given
+
+
 def silver(
     bronze: DataFrame, reports: DataFrame, bronze_hints: Hints = None, report_hints: Hints = None
 ) -> DataFrame:
@@ -34,8 +39,8 @@ def silver(
     A transaction without a report keeps a NULL label; several reports for one id give
     several rows. ``source_file`` is kept, as the per-file counts need it.
     """
-    bronze_hints = bronze_hints or skew_hints(bronze, ["id"]) or {}
-    report_hints = report_hints or skew_hints(reports, ["id"]) or {}
+    bronze_hints = _hints(bronze_hints, bronze, "id")
+    report_hints = _hints(report_hints, reports, "id")
     txns = balance_deltas(cast_balances(clean_countries(star_except(bronze, *LANDING_ONLY))))
     return skew_join(
         txns,
@@ -49,11 +54,11 @@ def silver(
 
 
 def _country_side(countries: DataFrame, side: str) -> DataFrame:
-    return countries.select(
-        F.col("alpha3_code").alias(f"country{side}"),
-        F.col("country").alias(f"country{side}_name"),
-        F.col("long_avg").alias(f"countryLong{side}_long"),
-        F.col("lat_avg").alias(f"countryLat{side}_lat"),
+    return countries.selectExpr(
+        f"alpha3_code AS country{side}",
+        f"country AS country{side}_name",
+        f"long_avg AS countryLong{side}_long",
+        f"lat_avg AS countryLat{side}_lat",
     )
 
 
@@ -66,10 +71,9 @@ def gold(
     The country table is not hinted; Spark broadcasts it while its statistics say it is
     small and shuffles otherwise.
     """
-    hints = hints or skew_hints(silver, ["customer_id"]) or {}
-    enriched = silver.join(_country_side(countries, "Orig"), "countryOrig").join(
-        _country_side(countries, "Dest"), "countryDest"
-    )
+    hints = _hints(hints, silver, "customer_id")
+    orig, dest = _country_side(countries, "Orig"), _country_side(countries, "Dest")
+    enriched = silver.join(orig, "countryOrig").join(dest, "countryDest")
     enriched = skew_join(
         enriched,
         customers.withColumnRenamed("id", "customer_id"),
@@ -83,8 +87,8 @@ def gold(
     return enriched.select(
         *own,
         *[c for c in customers.columns if c != "id"],
-        *_country_side(countries, "Orig").columns,
-        *_country_side(countries, "Dest").columns,
+        *orig.columns,
+        *dest.columns,
         to_double("amount").alias("amount"),
         fraud_flag("is_fraud").alias("is_fraud"),
     )

@@ -8,19 +8,38 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tellerscope.functions.skew import skew_hints
 from tellerscope.operators.medallion import gold, silver
 
 
-def _code(number: Column) -> Column:
-    return F.concat(F.lit("N"), F.lpad(number.cast("string"), 2, "0"))
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
 
-def _text(number: Column) -> Column:
-    return number.cast("string")
+_LONG, _INT, _TEXT, _REAL = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
+
+# Known schemas spare a look into the files each time a table is opened.
+SCHEMAS = {
+    "orders": _struct(
+        o_orderkey=_LONG, o_custkey=_LONG, o_orderstatus=_TEXT, o_totalprice=_REAL,
+        o_orderdate=T.TimestampNTZType(), o_orderpriority=_TEXT,
+    ),
+    "customer": _struct(
+        c_custkey=_LONG, c_name=_TEXT, c_nationkey=_INT, c_acctbal=_REAL, c_mktsegment=_TEXT
+    ),
+    "nation": _struct(n_nationkey=_INT, n_name=_TEXT, n_regionkey=_INT),
+    "events": _struct(
+        event_id=_LONG, ts=T.TimestampNTZType(), user_id=_LONG, event_type=_TEXT, value=_REAL,
+        props=_TEXT,
+    ),
+}
+
+
+def _code(number: str) -> str:
+    return f"concat('N', lpad(cast({number} AS string), 2, '0'))"
 
 
 class Bank:
@@ -35,94 +54,84 @@ class Bank:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
     @cached_property
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").filter(key % 50 != 49).select(
-            _text(key).alias("id"),
-            F.concat(F.lit("First"), _text(key % 40)).alias("firstname"),
-            F.concat(F.lit("Last"), _text(key % 90)).alias("lastname"),
-            F.concat(F.lit("c"), _text(key), F.lit("@example.org")).alias("email"),
-            _code(F.col("c_nationkey")).alias("country"),
+        return self.table("customer").where("c_custkey % 50 <> 49").selectExpr(
+            "cast(c_custkey AS string) AS id",
+            "concat('First', c_custkey % 40) AS firstname",
+            "concat('Last', c_custkey % 90) AS lastname",
+            "concat('c', c_custkey, '@example.org') AS email",
+            f"{_code('c_nationkey')} AS country",
         )
 
     @cached_property
     def countries(self) -> DataFrame:
-        key, region = F.col("n_nationkey"), F.col("n_regionkey")
-        return self.table("nation").filter(key < 24).select(
-            F.col("n_name").alias("country"),
-            F.concat(F.char(65 + key), F.char(65 + region)).alias("alpha2_code"),
-            _code(key).alias("alpha3_code"),
-            key.alias("numeric_code"),
-            (key * 3 - 36).cast("double").alias("lat_avg"),
-            F.when(key % 10 != 7, (key * 7 - 90).cast("double")).alias("long_avg"),
+        return self.table("nation").where("n_nationkey < 24").selectExpr(
+            "n_name AS country",
+            "concat(char(65 + n_nationkey), char(65 + n_regionkey)) AS alpha2_code",
+            f"{_code('n_nationkey')} AS alpha3_code",
+            "n_nationkey AS numeric_code",
+            "cast(n_nationkey * 3 - 36 AS double) AS lat_avg",
+            "CASE WHEN n_nationkey % 10 <> 7 THEN cast(n_nationkey * 7 - 90 AS double) END AS long_avg",
         )
 
     @cached_property
     def reports(self) -> DataFrame:
-        key, priority = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
-        fraud = ((priority == "1") & (key % 5 == 0)) | ((priority == "2") & (key % 7 == 0))
-        return self.table("orders").filter("o_orderstatus <> 'P'").select(
-            _text(key).alias("id"), F.when(fraud, 1).otherwise(0).alias("is_fraud")
+        return self.table("orders").where("o_orderstatus <> 'P'").selectExpr(
+            "cast(o_orderkey AS string) AS id",
+            """CASE WHEN o_orderpriority LIKE '1%' AND o_orderkey % 5 = 0 THEN 1
+                    WHEN o_orderpriority LIKE '2%' AND o_orderkey % 7 = 0 THEN 1
+                    ELSE 0 END AS is_fraud""",
         )
 
     @cached_property
     def txn_base(self) -> DataFrame:
-        priority, price = F.substring("o_orderpriority", 1, 1), F.col("o_totalprice")
-        key = F.col("o_orderkey")
-        kind = F.lit("DEBIT")
-        for digit, name in (("4", "PAYMENT"), ("3", "CASH_IN"), ("2", "CASH_OUT"), ("1", "TRANSFER")):
-            kind = F.when(priority == digit, name).otherwise(kind)
         orders = self.table("orders").withColumnRenamed("o_custkey", "c_custkey")
-        return orders.join(self.table("customer"), "c_custkey").select(
-            key.alias("k"),
-            kind.alias("type"),
-            price.alias("amount"),
-            F.when(key % 4 == 0, price).otherwise(price * 4).alias("oldBalanceOrig"),
-            F.when(key % 3 == 0, 0.0).otherwise(price * 2).alias("oldBalanceDest"),
-            F.col("c_custkey").alias("o_custkey"),
+        return orders.join(self.table("customer"), "c_custkey").selectExpr(
+            "o_orderkey AS k",
+            """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'TRANSFER' WHEN '2' THEN 'CASH_OUT'
+               WHEN '3' THEN 'CASH_IN' WHEN '4' THEN 'PAYMENT' ELSE 'DEBIT' END AS type""",
+            "o_totalprice AS amount",
+            "if(o_orderkey % 4 = 0, o_totalprice, o_totalprice * 4) AS oldBalanceOrig",
+            "if(o_orderkey % 3 = 0, 0D, o_totalprice * 2) AS oldBalanceDest",
+            "c_custkey AS o_custkey",
             "c_nationkey",
         )
 
     @cached_property
     def bronze(self) -> DataFrame:
-        k, amount = F.col("k"), F.col("amount")
-        old_orig, old_dest = F.col("oldBalanceOrig"), F.col("oldBalanceDest")
-
-        def mark(condition: Column) -> Column:
-            return F.when(condition, "--").otherwise("")
-
-        return self.txn_base.select(
-            _text(k).alias("id"),
-            (k % 1000).cast("int").alias("step"),
+        return self.txn_base.selectExpr(
+            "cast(k AS string) AS id",
+            "cast(k % 1000 AS int) AS step",
             "type",
             "amount",
-            _text(F.col("o_custkey")).alias("customer_id"),
-            F.concat(F.lit("C"), _text(F.col("o_custkey"))).alias("nameOrig"),
-            F.concat(F.lit("D"), _text(k % 997)).alias("nameDest"),
-            F.concat(mark(k % 2 == 0), _code(F.col("c_nationkey"))).alias("countryOrig"),
-            F.concat(mark(k % 3 == 0), _code((k * 7 + 3) % 25), mark(k % 6 == 0)).alias(
-                "countryDest"
-            ),
+            "cast(o_custkey AS string) AS customer_id",
+            "concat('C', o_custkey) AS nameOrig",
+            "concat('D', k % 997) AS nameDest",
+            f"concat(if(k % 2 = 0, '--', ''), {_code('c_nationkey')}) AS countryOrig",
+            f"""concat(if(k % 3 = 0, '--', ''), {_code('(k * 7 + 3) % 25')},
+                       if(k % 6 = 0, '--', '')) AS countryDest""",
             "oldBalanceOrig",
-            F.when(F.col("type") == "CASH_IN", old_orig + amount)
-            .otherwise(old_orig - amount)
-            .alias("newBalanceOrig"),
+            "if(type = 'CASH_IN', oldBalanceOrig + amount, oldBalanceOrig - amount) AS newBalanceOrig",
             "oldBalanceDest",
-            F.when(k % 7 == 0, old_dest).otherwise(old_dest + amount).alias("newBalanceDest"),
-            F.concat(F.lit("part-"), _text(k % 4), F.lit(".csv")).alias("source_file"),
+            "if(k % 7 = 0, oldBalanceDest, oldBalanceDest + amount) AS newBalanceDest",
+            "concat('part-', k % 4, '.csv') AS source_file",
         )
 
     @cached_property
-    def hints(self) -> dict[str, list] | None:
+    def hints(self) -> dict[str, list]:
         """Heavy ids and customers of a large bronze table, found in one pass."""
-        return skew_hints(self.bronze, ["id", "customer_id"])
+        return skew_hints(self.bronze, ["id", "customer_id"]) or {}
+
+    @cached_property
+    def report_hints(self) -> dict[str, list]:
+        return skew_hints(self.reports, ["id"]) or {}
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver(self.bronze, self.reports, bronze_hints=self.hints)
+        return silver(self.bronze, self.reports, self.hints, self.report_hints)
 
     @cached_property
     def gold(self) -> DataFrame:
@@ -134,52 +143,45 @@ class Bank:
 
     @cached_property
     def history(self) -> DataFrame:
-        k, amount = F.col("k"), F.col("amount")
-
-        def change(name: str, offset: int, factor: int = 1) -> Column:
-            return F.struct(
-                (amount * factor).alias("amount"),
-                F.lit(name).alias("_change_type"),
-                (k * 10 + offset).alias("_lsn"),
-            )
-
-        updated = k % 5 == 0
-        changes = F.array_compact(
-            F.array(
-                change("insert", 0),
-                F.when(updated, change("update_preimage", 2)),
-                F.when(updated, change("update_postimage", 3, 2)),
-                F.when(k % 11 == 0, change("delete", 5)),
+        """Inserts of all, updates (before and after) of some, deletes of a few, in one scan."""
+
+        def change(condition: str, name: str, offset: int, factor: int) -> str:
+            fields = f"'{name}' AS _change_type, k * 10 + {offset} AS _lsn, amount * {factor} AS now"
+            return f"if({condition}, struct({fields}), NULL)"
+
+        changes = ", ".join(
+            (
+                change("true", "insert", 0, 1),
+                change("k % 5 = 0", "update_preimage", 2, 1),
+                change("k % 5 = 0", "update_postimage", 3, 2),
+                change("k % 11 = 0", "delete", 5, 1),
             )
         )
-        return self.txn_base.withColumn("c", F.explode(changes)).select(
-            k.alias("id"),
+        return self.txn_base.selectExpr("*", f"inline(array_compact(array({changes})))").selectExpr(
+            "k AS id",
             "type",
-            F.col("c.amount").alias("amount"),
-            F.col("oldBalanceOrig").alias("old_balance_orig"),
-            (F.col("oldBalanceOrig") - amount).alias("new_balance_orig"),
-            F.col("oldBalanceDest").alias("old_balance_dest"),
-            (F.col("oldBalanceDest") + amount).alias("new_balance_dest"),
-            "c._change_type",
-            "c._lsn",
+            "now AS amount",
+            "oldBalanceOrig AS old_balance_orig",
+            "oldBalanceOrig - amount AS new_balance_orig",
+            "oldBalanceDest AS old_balance_dest",
+            "oldBalanceDest + amount AS new_balance_dest",
+            "_change_type",
+            "_lsn",
         )
 
 
 def scored_from(events: DataFrame) -> DataFrame:
     """Scored transactions from the event table (batch or stream)."""
-    kind = F.lit("CASH_IN")
-    for event, name in (("view", "DEBIT"), ("click", "PAYMENT"), ("purchase", "CASH_OUT"), ("error", "TRANSFER")):
-        kind = F.when(F.col("event_type") == event, name).otherwise(kind)
-    ts = F.col("ts").cast("timestamp")
-    return events.select(
-        F.col("event_id").alias("id"),
-        ts.alias("timestamp"),
-        kind.alias("type"),
-        F.col("value").alias("amount"),
-        F.col("user_id").cast("int").alias("customer_id"),
-        _code(F.col("user_id") % 25).alias("country_orig"),
-        _code(F.col("event_id") % 25).alias("country_dest"),
-        ((F.col("event_type") == "error") & (F.col("value") >= 50)).alias("fraud_prediction"),
-        F.least(F.col("value") / 500, F.lit(1.0)).alias("fraud_probability"),
-        (ts + F.make_dt_interval(secs=F.lit(1))).alias("scored_at"),
+    return events.selectExpr(
+        "event_id AS id",
+        "cast(ts AS timestamp) AS timestamp",
+        """CASE event_type WHEN 'error' THEN 'TRANSFER' WHEN 'purchase' THEN 'CASH_OUT'
+           WHEN 'click' THEN 'PAYMENT' WHEN 'view' THEN 'DEBIT' ELSE 'CASH_IN' END AS type""",
+        "value AS amount",
+        "cast(user_id AS int) AS customer_id",
+        f"{_code('user_id % 25')} AS country_orig",
+        f"{_code('event_id % 25')} AS country_dest",
+        "event_type = 'error' AND value >= 50 AS fraud_prediction",
+        "least(value / 500, 1D) AS fraud_probability",
+        "cast(ts AS timestamp) + INTERVAL 1 SECOND AS scored_at",
     )
