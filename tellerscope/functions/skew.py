@@ -29,9 +29,15 @@ def heavy_keys(df: DataFrame, columns: Sequence[str], support: float = 0.01) ->
 def skew_hints(
     df: DataFrame, columns: Sequence[str], min_bytes: int | None = None
 ) -> dict[str, list] | None:
-    """Heavy keys of a large batch input; ``None`` where the input is small or a stream."""
+    """Heavy keys of a large batch input; ``None`` where the input is small.
+
+    A stream cannot be looked through ahead: no key is named, so ``skew_join`` spreads
+    only the rows without a key.
+    """
+    if df.isStreaming:
+        return {c: [] for c in columns}
     min_bytes = LOOK_FOR_SKEW_BYTES if min_bytes is None else min_bytes
-    if df.isStreaming or input_bytes(df.select(*columns)) < min_bytes:
+    if input_bytes(df.select(*columns)) < min_bytes:
         return None
     return heavy_keys(df, columns)
 
@@ -86,17 +92,17 @@ def skew_join(
     # pmod(hash, 1) is always 0 but not a constant to the optimizer: a constant salt
     # would be folded out of the join keys and gather the NULL keys in one task again.
     rest = F.pmod(F.hash(F.col(key)), F.lit(1)).cast("int")
-    salted_left = left.withColumn(
-        _L, F.when(in_left | F.col(key).isNull(), _spread(ways, spread_left)).otherwise(rest)
-    ).withColumn(_R, _all_cells(in_right, ways))
-    salted_right = (
-        right.withColumn(_HIT, F.lit(True))
-        .withColumn(_R, F.when(in_right, _spread(ways, spread_right)).otherwise(F.lit(0)))
-        .withColumn("__cell", _all_cells(in_left, ways))
-        .withColumn(_L, F.when(in_left, F.col("__cell")).otherwise(rest))
-        .drop("__cell")
-    )
-    joined = salted_left.join(salted_right, [key, _L, _R], how)
+    on = [key, _L]
+    left_salt = F.when(in_left | F.col(key).isNull(), _spread(ways, spread_left)).otherwise(rest)
+    left = left.withColumn(_L, left_salt)
+    right = right.withColumn(_L, _all_cells(in_left, ways) if hot_left else rest)
+    if hot_right:
+        on.append(_R)
+        left = left.withColumn(_R, _all_cells(in_right, ways))
+        right = right.withColumn(
+            _R, F.when(in_right, _spread(ways, spread_right)).otherwise(F.lit(0))
+        ).withColumn(_HIT, F.lit(True))
+    joined = left.join(right, on, how)
     if how == "left" and hot_right:
         # A heavy right key exists on the right, so a copy of a left row that met
         # nothing in its cell is an artefact; its partners are in other cells.

@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 
 NUMERIC = ("amount", "newBalanceDest", "oldBalanceDest", "diffOrig", "diffDest")
 CATEGORICAL = ("type", "countryOrig_name", "countryDest_name")
+MAX_CATEGORIES = 50_000
 GRID = tuple((trees, depth) for trees in (10, 20) for depth in (10, 20))
 
 
@@ -43,14 +44,17 @@ def category_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict
     """Distinct values per column, most frequent first (by value on ties), NULL left out.
 
     One pass; what reaches the driver is one row per category, as many as the model
-    has one-hot inputs.
+    has one-hot inputs. More than ``MAX_CATEGORIES`` in all is an error, not a model.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
     )
     counts = df.select(pairs.alias("p")).filter("p.v IS NOT NULL").groupBy("p.c", "p.v").count()
     values: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counts.orderBy("c", F.desc("count"), "v").collect():
+    rows = counts.orderBy("c", F.desc("count"), "v").limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {', '.join(columns)}")
+    for row in rows:
         values[row["c"]].append(row["v"])
     return values
 
@@ -95,10 +99,16 @@ def fit_preprocessing(train: DataFrame) -> list:
     ]
 
 
-def _forest(trees: int, depth: int, seed: int) -> RandomForestClassifier:
-    return RandomForestClassifier(
+def _fit_forest(ready: DataFrame, trees: int, depth: int, seed: int):
+    """Forest on prepared rows, without the summary of its training.
+
+    The summary holds the session; tasks that score would carry it along, and fail to
+    once the session observes metrics. A copy of the model has none.
+    """
+    forest = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features"
     )
+    return forest.fit(ready).copy()
 
 
 def fit_rf(train: DataFrame, trees: int = 10, depth: int = 10, seed: int = 0) -> PipelineModel:
@@ -107,7 +117,7 @@ def fit_rf(train: DataFrame, trees: int = 10, depth: int = 10, seed: int = 0) ->
     try:
         stages = fit_preprocessing(train)
         ready = PipelineModel(stages).transform(train).select("label", "features")
-        return PipelineModel([*stages, _forest(trees, depth, seed).fit(ready)])
+        return PipelineModel([*stages, _fit_forest(ready, trees, depth, seed)])
     finally:
         train.unpersist()
 
@@ -180,7 +190,7 @@ def grid_search(
     rows, models = [], {}
     try:
         for trees, depth in grid:
-            forest = _forest(trees, depth, seed).fit(ready)
+            forest = _fit_forest(ready, trees, depth, seed)
             models[trees, depth] = PipelineModel([*stages, forest])
             metrics = evaluate(forest.transform(held_out)).first().asDict()
             rows.append({"n_estimators": trees, "max_depth": depth, **metrics})

@@ -205,10 +205,15 @@ def live_transactions(
     return rows.select("id", *COLLAPSED)
 
 
+def _as_key(df: DataFrame, key: str, tx_id: str) -> Column:
+    """The asked id in the type of the column, so the filter reaches the scan."""
+    return F.lit(str(tx_id)).try_cast(df.schema[key].dataType)
+
+
 def explain(gold: DataFrame, tx_id: str, stats: DataFrame | None = None) -> DataFrame:
     """Exactly one row for one id. Pass a stored baseline to avoid scanning gold for it."""
     stats = type_stats(gold) if stats is None else stats
-    found = gold.filter(F.col("id").cast("string") == str(tx_id))
+    found = gold.filter(F.col("id") == _as_key(gold, "id", tx_id))
     return add_risk(risk_features(found, stats, single=True)).select(*RESULT)
 
 
@@ -223,7 +228,7 @@ def explain_live(
 ) -> DataFrame:
     """As ``explain`` for the current state of one live id; the baseline stays gold's."""
     stats = type_stats(gold) if stats is None else stats
-    one = log.filter(F.col(key) == F.lit(str(tx_id)).try_cast("bigint"))
+    one = log.filter(F.col(key) == _as_key(log, key, tx_id))
     found = live_transactions(one, key, seq, change)
     return add_risk(risk_features(found, stats, single=True), live=True).select(*RESULT)
 

@@ -34,15 +34,19 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str = "csv", ratio: float = 1.0) -> T.StructType:
+def infer_schema(
+    spark: SparkSession, path: str, fmt: str = "csv", max_files: int = 1000
+) -> T.StructType:
     """Typed schema of existing files, to be given to ``ingest_files``.
 
-    Reads a ``ratio`` of the rows; below 1 a rare wider value may need a second look.
+    Looks at the first ``max_files`` files; a value that does not fit later becomes NULL,
+    or rescued content where ``read_with_rescue`` is used.
     """
-    reader = spark.read.options(**_options(fmt, True)).option("samplingRatio", ratio)
+    reader = spark.read.options(**_options(fmt, True))
     if fmt == "csv":
         reader = reader.option("inferSchema", True)
-    return reader.format(fmt).load(path).schema
+    known = sorted(spark.read.text(path).inputFiles())
+    return reader.format(fmt).load(known[:max_files] or path).schema
 
 
 def read_files(

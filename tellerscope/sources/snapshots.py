@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscope.operators.medallion import gold
+from tellerscope.operators.medallion import route_counts
 from tellerscope.sources.tables import read_target
 
 MANIFEST = "version int, operation string, rows long, published_at timestamp"
@@ -72,8 +72,8 @@ def gold_impact(
 ) -> DataFrame:
     """(change, rows): gold rows lost and gained between two versions of the countries.
 
-    Only codes that one version lacks can move a row, so gold is built once, on the
-    union of both versions, and each row is judged by its two codes.
+    Only codes that one version lacks can move a row, so the joins run once, on the
+    union of both versions, over counts per customer and route.
     """
     both = (
         before.withColumn("was", F.lit(True))
@@ -91,14 +91,15 @@ def gold_impact(
         for s in ("Orig", "Dest")
     }
     rows = (
-        silver.select("customer_id", "countryOrig", "countryDest")
+        route_counts(silver)
         .join(side["Orig"], "countryOrig")
         .join(side["Dest"], "countryDest")
         .join(customers.select(F.col("id").alias("customer_id")), "customer_id")
     )
     was, now = F.col("wasOrig") * F.col("wasDest"), F.col("isOrig") * F.col("isDest")
-    moved = rows.agg(
-        F.coalesce(F.sum(F.greatest(was - now, F.lit(0))), F.lit(0)).alias("lost"),
-        F.coalesce(F.sum(F.greatest(now - was, F.lit(0))), F.lit(0)).alias("gained"),
-    )
+
+    def rows_of(surplus: Column) -> Column:
+        return F.coalesce(F.sum(F.greatest(surplus, F.lit(0)) * F.col("n")), F.lit(0))
+
+    moved = rows.agg(rows_of(was - now).alias("lost"), rows_of(now - was).alias("gained"))
     return moved.select(F.expr("stack(2, 'lost', lost, 'gained', gained) AS (change, rows)"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 from pyspark.storagelevel import StorageLevel
 
+from tellerscope.functions.sizing import input_bytes
 from tellerscope.functions.skew import one_per_key, skew_hints, skew_join
 
 BATCH = "batch_id"
@@ -25,10 +26,21 @@ def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None
         raise
 
 
+# A source this many times smaller than the target is looked up in it instead.
+LOOKUP_RATIO = 8
+
+
 def new_rows(source: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of ``source`` whose key is not in ``target``; rows without a key always are."""
+    """Rows of ``source`` whose key is not in ``target``; rows without a key always are.
+
+    A small source first reduces the target to the keys they share: Spark can then
+    broadcast the source's keys and leave the target where it is.
+    """
+    keys = target.select(key)
+    if input_bytes(source.select(key)) * LOOKUP_RATIO < input_bytes(keys):
+        keys = keys.join(source.select(key).distinct(), key, "left_semi")
     hints = skew_hints(source, [key]) or {}
-    return skew_join(source, target, key, "left_anti", hot_left=hints.get(key))
+    return skew_join(source, keys, key, "left_anti", hot_left=hints.get(key))
 
 
 def merge_insert_only(source: DataFrame, target_path: str, key: str = "id") -> None:
@@ -48,7 +60,8 @@ def relabel(target: DataFrame, reports: DataFrame, key: str = "id") -> DataFrame
     Write the result to a new folder; a parquet folder cannot be replaced while read.
     """
     late = reports.groupBy(key).agg(F.max("is_fraud").alias("__late"))
-    joined = target.join(late, key, "left")
+    hints = skew_hints(target, [key]) or {}
+    joined = skew_join(target, late, key, "left", hot_left=hints.get(key))
     return joined.withColumn("is_fraud", F.coalesce("is_fraud", "__late")).select(*target.columns)
 
 

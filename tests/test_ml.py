@@ -95,3 +95,12 @@ def test_grid_and_choice(rows):
     assert results.count() == 2 and set(models) == {(2, 2), (5, 5)}
     chosen = ml.best(results).first()
     assert chosen.f1 == results.agg(F.max("f1")).first()[0]
+
+
+def test_scoring_beside_observed_metrics(spark, rows, model):
+    from pyspark.sql import Observation
+
+    seen = Observation("beside")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get == {"n": 3}
+    assert ml.predict(rows, model).count() == rows.count()
