@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes Catalyst expects from all inputs below ``df`` (column-pruned).
+    """Bytes of all inputs below ``df``, by Catalyst's statistics.
 
     Leaves are summed, since the estimate of a join multiplies its sides. An
     input without statistics counts as very large.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tellerscope.functions.sizing import input_bytes
 
 # Below this input size a hot key cannot fill a task and is not looked for.
-LOOK_FOR_SKEW_BYTES = 64 << 30
+LOOK_FOR_SKEW_BYTES = 8 << 30
 WAYS = 64
 _HIT, _L, _R = "__hit", "__lsalt", "__rsalt"
 

@@ -99,40 +99,36 @@ def gold_by_country(gold: DataFrame, country: str | None = None) -> DataFrame:
     return gold.filter(F.col("country") == country) if country else gold
 
 
-def route_counts(silver: DataFrame) -> DataFrame:
-    """Rows per customer and route: few rows per customer, however busy one is."""
-    return silver.groupBy("countryOrig", "countryDest", "customer_id").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-
-
 def gold_unmatched(silver: DataFrame, countries: DataFrame, customers: DataFrame) -> DataFrame:
     """Silver rows each gold join loses, as (reason, rows).
 
-    One pass over silver, reduced to counts per customer and route before the joins.
+    One pass: codes are looked up first, then silver shrinks to one row of counts per
+    customer, which is already placed for the customer join.
     """
 
     def known(dim: DataFrame, key: str, name: str) -> DataFrame:
         return dim.select(F.col(key).alias(name)).distinct().withColumn(f"has_{name}", F.lit(True))
 
-    joined = (
-        route_counts(silver)
+    per_customer = (
+        silver.select("countryOrig", "countryDest", "customer_id")
         .join(known(countries, "alpha3_code", "countryOrig"), "countryOrig", "left")
         .join(known(countries, "alpha3_code", "countryDest"), "countryDest", "left")
-        .join(known(customers, "id", "customer_id"), "customer_id", "left")
+        .groupBy("customer_id")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.expr("count_if(has_countryOrig IS NULL)").alias("orig"),
+            F.expr("count_if(has_countryDest IS NULL)").alias("dest"),
+        )
     )
-    lost = joined.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col(f"has_{c}").isNull(), F.col("n"))), F.lit(0)).alias(c)
-            for c in ("countryOrig", "countryDest", "customer_id")
-        ]
+    checked = per_customer.join(known(customers, "id", "customer_id"), "customer_id", "left")
+    lost = checked.agg(
+        F.expr("coalesce(sum(orig), 0)").alias("orig"),
+        F.expr("coalesce(sum(dest), 0)").alias("dest"),
+        F.expr("coalesce(sum(if(has_customer_id IS NULL, n, 0)), 0)").alias("customer"),
     )
-    return lost.select(
-        F.expr(
-            "stack(3, 'unknown origin country', countryOrig, "
-            "'unknown destination country', countryDest, "
-            "'unknown customer', customer_id) AS (reason, rows)"
-        )
+    return lost.selectExpr(
+        "stack(3, 'unknown origin country', orig, 'unknown destination country', dest, "
+        "'unknown customer', customer) AS (reason, rows)"
     )
 
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tellerscope.functions.sizing import pin_small
+
 NUMERIC_FEATURES = ("amount", "newBalanceDest", "oldBalanceDest", "diffOrig", "diffDest")
 PERCENTILES = (("p10", 0.10), ("p25", 0.25), ("p50", 0.50), ("p75", 0.75), ("p90", 0.90))
 
@@ -61,8 +63,11 @@ def _counted(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def type_frequencies(gold: DataFrame) -> DataFrame:
-    """Rows, frauds and share of all rows per type, most frequent first."""
-    counts = _counted(gold, "type")
+    """Rows, frauds and share of all rows per type, most frequent first.
+
+    The counts are made once and pinned while they are few; the total is theirs.
+    """
+    counts = pin_small(_counted(gold, "type"))
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("weight", _share(F.col("count"), total, 6)).orderBy(
         F.desc("count"), "type"

@@ -37,10 +37,10 @@ COUNTRIES = _struct(
     "lat_avg double, long_avg double"
 )
 
-# The message id is text on the wire in some producers and a number in others;
-# the table key is a number, so it is parsed as one.
+# The message id is text on the wire in some producers and a number in others; text
+# takes both. ``parse_messages`` turns it into the number the table is keyed by.
 RAW_MESSAGE = _struct(
-    "id bigint, timestamp string, type string, amount double, customer_id int, "
+    "id string, timestamp string, type string, amount double, customer_id int, "
     "firstname string, lastname string, country_orig string, country_dest string, "
     "old_balance_orig double, new_balance_orig double, "
     "old_balance_dest double, new_balance_dest double, diff_orig double, diff_dest double"

@@ -12,10 +12,11 @@ from tellerscope.schemas import RAW_MESSAGE
 def parse_messages(df: DataFrame, schema: T.StructType = RAW_MESSAGE) -> DataFrame:
     """Typed columns from a ``value`` column of bytes or text, batch or stream.
 
-    Messages that cannot be parsed, or carry no id, are left out.
+    Messages that cannot be parsed, or carry no numeric id, are left out.
     """
     data = F.from_json(F.col("value").cast("string"), schema)
-    return df.select(data.alias("data")).select("data.*").filter(F.col("id").isNotNull())
+    rows = df.select(data.alias("data")).select("data.*")
+    return rows.withColumn("id", F.col("id").try_cast("bigint")).filter(F.col("id").isNotNull())
 
 
 def kafka_options(

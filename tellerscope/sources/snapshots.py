@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscope.operators.medallion import route_counts
 from tellerscope.sources.tables import read_target
 
 MANIFEST = "version int, operation string, rows long, published_at timestamp"
@@ -73,7 +72,7 @@ def gold_impact(
     """(change, rows): gold rows lost and gained between two versions of the countries.
 
     Only codes that one version lacks can move a row, so the joins run once, on the
-    union of both versions, over counts per customer and route.
+    union of both versions, and silver shrinks to one row per customer on the way.
     """
     both = (
         before.withColumn("was", F.lit(True))
@@ -90,16 +89,22 @@ def gold_impact(
         )
         for s in ("Orig", "Dest")
     }
-    rows = (
-        route_counts(silver)
+    per_customer = (
+        silver.select("customer_id", "countryOrig", "countryDest")
         .join(side["Orig"], "countryOrig")
         .join(side["Dest"], "countryDest")
-        .join(customers.select(F.col("id").alias("customer_id")), "customer_id")
+        .withColumn("more", F.expr("isOrig * isDest - wasOrig * wasDest"))
+        .groupBy("customer_id")
+        .agg(
+            F.expr("sum(greatest(-more, 0))").alias("lost"),
+            F.expr("sum(greatest(more, 0))").alias("gained"),
+        )
+    )
+    rows = per_customer.join(
+        customers.select(F.col("id").alias("customer_id")), "customer_id"
+    )
+    moved = rows.agg(
+        F.expr("coalesce(sum(lost), 0)").alias("lost"),
+        F.expr("coalesce(sum(gained), 0)").alias("gained"),
     )
-    was, now = F.col("wasOrig") * F.col("wasDest"), F.col("isOrig") * F.col("isDest")
-
-    def rows_of(surplus: Column) -> Column:
-        return F.coalesce(F.sum(F.greatest(surplus, F.lit(0)) * F.col("n")), F.lit(0))
-
-    moved = rows.agg(rows_of(was - now).alias("lost"), rows_of(now - was).alias("gained"))
     return moved.select(F.expr("stack(2, 'lost', lost, 'gained', gained) AS (change, rows)"))
