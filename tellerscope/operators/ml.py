@@ -40,22 +40,28 @@ def split(df: DataFrame, pct: int = 80, seed: int = 0) -> tuple[DataFrame, DataF
     return df.filter(draw < pct), df.filter(draw >= pct)
 
 
+def category_counts(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """(feature, value, count) of each categorical column in one pass, NULL left out."""
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])
+    )
+    rows = df.select(pairs.alias("p")).select("p.*").filter("value IS NOT NULL")
+    return rows.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
 def category_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
-    """Distinct values per column, most frequent first (by value on ties), NULL left out.
+    """Distinct values per column, most frequent first (by value on ties).
 
-    One pass; what reaches the driver is one row per category, as many as the model
-    has one-hot inputs. More than ``MAX_CATEGORIES`` in all is an error, not a model.
+    What reaches the driver is one row per category, as many as the model has one-hot
+    inputs. More than ``MAX_CATEGORIES`` in all is an error, not a model.
     """
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
-    )
-    counts = df.select(pairs.alias("p")).filter("p.v IS NOT NULL").groupBy("p.c", "p.v").count()
-    values: dict[str, list[str]] = {c: [] for c in columns}
-    rows = counts.orderBy("c", F.desc("count"), "v").limit(MAX_CATEGORIES + 1).collect()
+    counts = category_counts(df, columns).orderBy("feature", F.desc("count"), "value")
+    rows = counts.limit(MAX_CATEGORIES + 1).collect()
     if len(rows) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories in {', '.join(columns)}")
+    values: dict[str, list[str]] = {c: [] for c in columns}
     for row in rows:
-        values[row["c"]].append(row["v"])
+        values[row["feature"]].append(row["value"])
     return values
 
 

@@ -545,6 +545,11 @@ def _train_test(b: Bank) -> tuple[DataFrame, DataFrame]:
     return ml.split(ml.features(b.gold, with_label=True))
 
 
+simple("category_counts", lambda b: ml.category_counts(
+    b.gold.withColumn("countryDest_name", F.nullif(F.col("countryDest_name"), F.lit("NATION_3")))
+))
+
+
 @query
 def preprocess(b: Bank) -> DataFrame:
     """Filled inputs of the model, with unfilled gaps made in two columns first."""

@@ -424,6 +424,11 @@ UNION ALL SELECT 'explain_live_transaction_risk', '11', 0, '0'""",
 UNION ALL SELECT 'live', type, count(*) FROM ({CURRENT}) GROUP BY type
 UNION ALL SELECT 'scored', type, count(*) FROM scored_transactions GROUP BY type""",
     "live_risk_scores": f", {LIVE_RISK} SELECT id, risk_score FROM scored",
+    "category_counts": """SELECT feature, value, count(*) AS count FROM (
+  SELECT 'type' AS feature, type AS value FROM gold_transactions
+  UNION ALL SELECT 'countryOrig_name', countryOrig_name FROM gold_transactions
+  UNION ALL SELECT 'countryDest_name', nullif(countryDest_name, 'NATION_3') FROM gold_transactions
+) WHERE value IS NOT NULL GROUP BY ALL""",
     "split": """SELECT id, CASE WHEN CAST('0x' || substr(md5('0:' || id), 1, 7) AS BIGINT) % 100 < 80
   THEN 'train' ELSE 'test' END AS part FROM gold_transactions""",
     "evaluate": """, n AS (

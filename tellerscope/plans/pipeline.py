@@ -63,7 +63,7 @@ def register_views(
         "banking_customers": customers,
         "silver_transactions": labelled,
         "gold_transactions": gold(labelled, countries, customers),
-        "lb_scored_transactions_history": change_log,
+        "live_history": change_log,
         "live_transactions": None if change_log is None else current_state(change_log),
         "scored_transactions": scored,
     }

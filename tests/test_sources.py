@@ -193,3 +193,16 @@ def test_impact_both_ways(spark, bank):
         bank.silver, bank.customers, after, bank.countries).collect()}
     hit = bank.gold.filter("countryOrig = 'N05' OR countryDest = 'N05'").count()
     assert lost == {"lost": hit, "gained": 0} and back == {"lost": 0, "gained": hit} and hit > 0
+
+
+def test_small_source_is_looked_up(spark, folder):
+    spark.range(20_000).selectExpr("cast(id AS string) AS id", "id AS v").write.parquet(f"{folder}/target")
+    rows = [("5", 1), ("5", 2), ("new", 3), ("new", 4), (None, 5)]
+    spark.createDataFrame(rows, "id string, v long").write.parquet(f"{folder}/source")
+    source, target = (spark.read.parquet(f"{folder}/{n}") for n in ("source", "target"))
+    found = tables.new_rows(source, target)
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.v for r in found.collect()) == [3, 4, 5]
+    other_way = tables.new_rows(target, source)
+    assert "LeftSemi" not in other_way._jdf.queryExecution().optimizedPlan().toString()
+    assert other_way.count() == 19_999

@@ -88,9 +88,13 @@ def test_silver_stream_applies_rules(spark, bank, folder):
     bank.bronze.withColumn("amount", F.col("amount") - 100_000).write.parquet(path)
     schema = spark.read.parquet(path).schema
     out = jobs.silver_stream(spark.readStream.schema(schema).parquet(path), bank.reports)
-    (out.writeStream.format("parquet").option("path", f"{folder}/out")
-     .option("checkpointLocation", f"{folder}/checkpoint").trigger(**jobs.ONCE).start()
-     .awaitTermination())
+    query = (out.writeStream.format("parquet").option("path", f"{folder}/out")
+             .option("checkpointLocation", f"{folder}/checkpoint").trigger(**jobs.ONCE).start())
+    query.awaitTermination()
+    counted = [p.observedMetrics["expectations"] for p in query.recentProgress if p.observedMetrics]
+    dropped = bank.bronze.filter("amount <= 100000").count()
+    assert sum(m.correct_amount for m in counted) == dropped > 0
+    assert sum(m.total_rows for m in counted) == bank.bronze.count()
     got = spark.read.parquet(f"{folder}/out")
     want = bank.silver.withColumn("amount", F.col("amount") - 100_000).filter("amount > 0")
     assert same(got.select("id", "amount", "is_fraud"), want.select("id", "amount", "is_fraud"))
