@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,23 @@ from pyspark.sql import functions as F
 from tellerscope.session import work_dir
 
 
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """What ``make`` gives, once per Python worker: a worker serves many tasks."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets the workers import this package from the place where the driver found it."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def stored(df: DataFrame, purpose: str, partitions: str | None = None) -> DataFrame:
     """``df`` written to the shared work folder and read again.
 
@@ -25,6 +43,7 @@ def stored(df: DataFrame, purpose: str, partitions: str | None = None) -> DataFr
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

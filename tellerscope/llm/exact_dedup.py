@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tellerscope.llm.common import stored, text_or_empty
 
-KEYS_PER_SHARD = 32_768
+KEYS_PER_SHARD = 256
 HOT_SHARE = 1000
 WAYS = 32
 GAMMA = 2.0

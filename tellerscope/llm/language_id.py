@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import map_rows, stored
+from tellerscope.llm.common import kept, map_rows, stored
 
 # Languages by family. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -169,16 +169,15 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     empty table gives no rows. Other columns are ignored.
     """
     model = model or fit(docs)
-    cache: list[WordSums] = []
+    fitted = zlib.crc32(model.weights.tobytes())
 
     def predict(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not cache:
-            cache.append(WordSums(model))
+        sums = kept(("language", fitted), lambda: WordSums(model))
         langs, scores = [], []
         for text in batch["text"].to_pylist():
             lang, score = UNDETERMINED, 0.0
             if text and model.languages and any(map(str.isalpha, text)):
-                lang, score = model.predict(cache[0].margins(text, model.intercepts))
+                lang, score = model.predict(sums.margins(text, model.intercepts))
             langs.append(lang)
             scores.append(score)
         return pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())})

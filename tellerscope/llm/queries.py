@@ -10,12 +10,31 @@ from tellerscope.llm.common import table
 from tellerscope.llm.exact_dedup import exact_dedup
 from tellerscope.llm.language_id import identify
 from tellerscope.llm.maxscore import top_k
+from tellerscope.llm.packing import pack
+from tellerscope.llm.wavelet import token_files
+
+
+def vocabulary(name: str) -> str:
+    """A public vocabulary file; any other path can be given to the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_files(docs, vocabulary("byte_bpe_50k.json"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, vocabulary("word_bpe_49k.json"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -49,7 +68,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_token_files": op3_token_files,
         "op4_exact_dedup": op4_exact_dedup,
+        "op6_packing": op6_packing,
         "op8_language_id": op8_language_id,
         "op10_exact_top_k": op10_exact_top_k,
     }
