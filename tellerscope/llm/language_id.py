@@ -1,16 +1,14 @@
 """Language identification: the family first, then one-versus-one inside the family.
 
-Features are hashed character n-grams of the blank-separated words, as shares of all n-grams
-of the text, so a text's margin is the mean of its words' sums. A linear support vector
-machine for each pair of families chooses the family, and one for each pair of languages of
-that family chooses among them. They are fitted by Spark on a bounded sample of labelled
-rows; the prediction reads whole texts, and looks the sums of a word up in a cache.
+Features are hashed character n-grams as shares of all n-grams of the text. A linear support
+vector machine for each pair of families chooses the family, and one for each pair of
+languages of that family chooses among them. They are fitted by Spark on a bounded sample of
+labelled rows; the prediction counts the n-grams of whole texts.
 """
 
 from __future__ import annotations
 
 import itertools
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import kept, map_rows, stored
+from tellerscope.llm.common import map_rows, stored
 
 # Languages by family. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -33,10 +31,10 @@ FAMILIES = {
 FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs.split()}
 UNDETERMINED = "und"
 BUCKETS = 2048
-GRAMS = (1, 2, 3)
+MOST_GRAM = 3
+BLOCK = 1 << 18
 #: Most labelled rows of a language that the fit reads, as an expected count.
 ROWS_PER_LANGUAGE = 800
-MOST_WORDS = 400_000
 
 
 def held_out() -> Column:
@@ -44,17 +42,25 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def word_buckets(word: str) -> list[int]:
-    """Hashed n-grams of a lower-case word, marked at both ends."""
-    marked = f"\x02{word}\x03"
-    return [zlib.crc32(marked[i : i + n].encode("utf-8", "replace")) % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]
+def counts(text: str) -> np.ndarray:
+    """Hashed n-grams of the lower-case text, every run of white space being one blank."""
+    plain = f" {' '.join(text.lower().split())} "
+    codes = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    out = np.zeros(BUCKETS, np.int64)
+    for a in range(0, len(codes), BLOCK):
+        part = codes[a : a + BLOCK + MOST_GRAM - 1]
+        gram = np.zeros(len(part), np.uint64)
+        for n in range(1, MOST_GRAM + 1):
+            gram = gram[: len(part) - n + 1] * np.uint64(0x110000) + part[n - 1 :]
+            own = gram[:BLOCK]
+            mixed = (own + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            out += np.bincount((mixed >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    return out
 
 
 def shares(text: str) -> np.ndarray:
-    counts = np.zeros(BUCKETS)
-    for word in text.lower().split():
-        np.add.at(counts, word_buckets(word), 1)
-    return counts / max(1.0, counts.sum())
+    found = counts(text)
+    return found / max(1, found.sum())
 
 
 def pairs(languages: list[str]) -> list[tuple[frozenset, frozenset]]:
@@ -98,33 +104,6 @@ class Model:
         return min(lang), min(1.0, max(0.0, p * q))
 
 
-class WordSums(dict):
-    """Word to row of ``table``: the machines' sums over its n-grams, and how many those are."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.weights = model.weights
-        self.table = np.zeros((1 << 14, model.weights.shape[1] + 1))
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        buckets = word_buckets(word)
-        self.table[at, :-1] = self.weights[buckets].sum(axis=0)
-        self.table[at, -1] = len(buckets)
-        self[word] = at
-        return at
-
-    def margins(self, text: str, intercepts: np.ndarray) -> np.ndarray:
-        if len(self) > MOST_WORDS:
-            self.clear()
-        words = text.lower().split()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        sums = self.table[rows].sum(axis=0)
-        return sums[:-1] / max(1.0, sums[-1]) + intercepts
-
-
 def training_rows(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """(lang, features) of a bounded sample of labelled rows that are not held out.
 
@@ -169,15 +148,12 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     empty table gives no rows. Other columns are ignored.
     """
     model = model or fit(docs)
-    fitted = zlib.crc32(model.weights.tobytes())
-
     def predict(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sums = kept(("language", fitted), lambda: WordSums(model))
         langs, scores = [], []
         for text in batch["text"].to_pylist():
             lang, score = UNDETERMINED, 0.0
             if text and model.languages and any(map(str.isalpha, text)):
-                lang, score = model.predict(sums.margins(text, model.intercepts))
+                lang, score = model.predict(shares(text) @ model.weights + model.intercepts)
             langs.append(lang)
             scores.append(score)
         return pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())})
