@@ -71,3 +71,18 @@ def slices(batch: pa.RecordBatch, sizes, limit: int) -> Iterator[pa.RecordBatch]
         total += size
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str, hot: list[bytes], ways: int, by: list[str]) -> DataFrame:
+    """Inner join on a binary ``key`` that ``lookup`` holds once.
+
+    Rows of the ``hot`` keys are dealt over ``ways`` tasks by a hash of the columns ``by``,
+    with a copy of their lookup row in each.
+    """
+    if not hot:
+        return rows.join(lookup, key)
+    is_hot = F.col(key).isin([F.lit(h) for h in hot])
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*by), F.lit(ways)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    left, right = rows.withColumn("__way", salt), lookup.withColumn("__way", F.explode(copies))
+    return left.join(right, [key, "__way"]).drop("__way")

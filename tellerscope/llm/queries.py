@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tellerscope.llm.common import table
 from tellerscope.llm.exact_dedup import exact_dedup
 from tellerscope.llm.language_id import identify
+from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.maxscore import top_k
 from tellerscope.llm.packing import pack
 from tellerscope.llm.wavelet import token_files
@@ -30,6 +32,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda r: F.concat_ws("-", r["start"], r["stop"]))
+    return found.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(spans, " ").alias("removed_spans"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack(docs, vocabulary("word_bpe_49k.json"))
@@ -50,6 +58,24 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM d JOIN g USING (text_sha256)
 """
 
+OP5_SQL = """
+WITH lines AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+), u AS (
+  SELECT doc_id, i, parts[i] AS line, trim(regexp_replace(lower(parts[i]), '\\s+', ' ', 'g')) AS norm,
+    CAST(coalesce(list_sum([length(x) + 1 FOR x IN parts[1:i - 1]]), 0) AS BIGINT) AS start
+  FROM lines, unnest(range(1, len(parts) + 1)) AS t(i)
+), r AS (
+  SELECT *, len(string_split(norm, ' ')) >= 10
+    AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS cut
+  FROM u
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '') AS text,
+  count(*) FILTER (cut) AS n_removed,
+  coalesce(string_agg(start || '-' || (start + length(line)), ' ' ORDER BY i) FILTER (cut), '') AS removed_spans
+FROM r GROUP BY doc_id
+"""
+
 OP10_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x
@@ -70,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_files": op3_token_files,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_line_dedup": op5_line_dedup,
         "op6_packing": op6_packing,
         "op8_language_id": op8_language_id,
         "op10_exact_top_k": op10_exact_top_k,
@@ -77,4 +104,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op10_exact_top_k": OP10_SQL}
+    return {"op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op10_exact_top_k": OP10_SQL}
