@@ -12,6 +12,7 @@ from tellerscope.llm.exact_dedup import exact_dedup
 from tellerscope.llm.language_id import identify
 from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.maxscore import top_k
+from tellerscope.llm.ngram_join import ngram_join
 from tellerscope.llm.packing import pack
 from tellerscope.llm.wavelet import token_files
 
@@ -23,6 +24,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), k=3, similarity=(90, 100))[0]
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files(docs, vocabulary("byte_bpe_50k.json"))
@@ -94,6 +99,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op3_token_files": op3_token_files,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_line_dedup": op5_line_dedup,
