@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tellerscope.llm import byte_bpe
 from tellerscope.llm.common import table
 from tellerscope.llm.exact_dedup import exact_dedup
 from tellerscope.llm.language_id import identify
@@ -48,6 +49,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, vocabulary("word_bpe_49k.json"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -104,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op6_packing": op6_packing,
+        "op7_byte_bpe": op7_byte_bpe,
         "op8_language_id": op8_language_id,
         "op10_exact_top_k": op10_exact_top_k,
     }
