@@ -42,6 +42,31 @@ def stored(df: DataFrame, purpose: str, partitions: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_stream(path: str, chunks: Iterable[bytes]) -> None:
+    """``chunks`` as the file at ``path``, in any file system that Arrow knows.
+
+    The file appears whole, by a rename, so a task that is run again replaces it.
+    """
+    from pyarrow import fs
+    from pyspark import TaskContext
+
+    store, at = fs.FileSystem.from_uri(path)
+    context = TaskContext.get()
+    part = f"{at}.{context.taskAttemptId() if context else 0}.part"
+    with store.open_output_stream(part, compression=None) as out:
+        for chunk in chunks:
+            out.write(chunk)
+    store.move(part, at)
+
+
+def make_folder(path: str) -> str:
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(path)
+    store.create_dir(at, recursive=True)
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,16 +98,16 @@ def slices(batch: pa.RecordBatch, sizes, limit: int) -> Iterator[pa.RecordBatch]
         yield batch.slice(start)
 
 
-def spread_join(rows: DataFrame, lookup: DataFrame, key: str, hot: list[bytes], ways: int, by: list[str]) -> DataFrame:
-    """Inner join on a binary ``key`` that ``lookup`` holds once.
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str, hot: list[bytes], ways: int, by: list[str], how: str = "inner") -> DataFrame:
+    """Join (inner or left) on a binary ``key`` that ``lookup`` holds once.
 
     Rows of the ``hot`` keys are dealt over ``ways`` tasks by a hash of the columns ``by``,
     with a copy of their lookup row in each.
     """
     if not hot:
-        return rows.join(lookup, key)
+        return rows.join(lookup, key, how)
     is_hot = F.col(key).isin([F.lit(h) for h in hot])
     salt = F.when(is_hot, F.pmod(F.xxhash64(*by), F.lit(ways)).cast("int")).otherwise(F.lit(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     left, right = rows.withColumn("__way", salt), lookup.withColumn("__way", F.explode(copies))
-    return left.join(right, [key, "__way"]).drop("__way")
+    return left.join(right, [key, "__way"], how).drop("__way")

@@ -15,6 +15,7 @@ from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.maxscore import top_k
 from tellerscope.llm.ngram_join import ngram_join
 from tellerscope.llm.packing import pack
+from tellerscope.llm.warc import warc_index
 from tellerscope.llm.wavelet import token_files
 
 
@@ -29,6 +30,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), k=3, similarity=(90, 100))[0]
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files(docs, vocabulary("byte_bpe_50k.json"))
@@ -63,6 +68,18 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 OP4_SQL = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
@@ -107,6 +124,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
+        "op2_warc": op2_warc,
         "op3_token_files": op3_token_files,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_line_dedup": op5_line_dedup,
@@ -118,4 +136,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op10_exact_top_k": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op10_exact_top_k": OP10_SQL}

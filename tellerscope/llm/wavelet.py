@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import kept, slices, stored, text_or_empty
+from tellerscope.llm.common import kept, make_folder, slices, stored, text_or_empty, write_stream
 from tellerscope.llm.library_tokens import IDS, LibraryEncoder
 from tellerscope.session import work_dir
 
@@ -164,18 +164,6 @@ def load_shard(raw: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]
     return doc_ids, np.frombuffer(parts[2], "<i8"), WaveletMatrix(planes, n)
 
 
-def write_file(path: str, raw: bytes) -> None:
-    """``raw`` at ``path`` in any file system that Arrow knows; a retry replaces it whole."""
-    from pyarrow import fs
-
-    store, at = fs.FileSystem.from_uri(path)
-    context = TaskContext.get()
-    part = f"{at}.{context.taskAttemptId() if context else 0}.part"
-    with store.open_output_stream(part) as out:
-        out.write(raw)
-    store.move(part, at)
-
-
 def write_shards(docs: DataFrame, vocabulary: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Encode ``docs`` and write the shards; the manifest (file, part, number, documents, tokens).
 
@@ -183,10 +171,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, end_id: int = EN
     starts a new file when ``SHARD_TOKENS`` are full, so its memory stays bounded. Files are
     named by task and number, so that a repeated task writes the same files again.
     """
-    from pyarrow import fs
-
-    store, at = fs.FileSystem.from_uri(folder)
-    store.create_dir(at, recursive=True)
+    make_folder(folder)
     text = text_or_empty()
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
@@ -199,7 +184,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, end_id: int = EN
         def flush() -> pa.RecordBatch:
             name = f"{part:07d}-{number:05d}{SUFFIX}"
             lengths = [len(x) // 2 for x in held]
-            write_file(f"{folder}/{name}", dump_shard(held_ids, lengths, np.frombuffer(b"".join(held), IDS)))
+            write_stream(f"{folder}/{name}", [dump_shard(held_ids, lengths, np.frombuffer(b"".join(held), IDS))])
             return pa.RecordBatch.from_pydict({"file": [name], "part": pa.array([part], pa.int64()), "number": pa.array([number], pa.int64()), "documents": [len(held_ids)], "tokens": [size]})
 
         for batch in batches:
