@@ -15,6 +15,7 @@ from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.maxscore import top_k
 from tellerscope.llm.ngram_join import ngram_join
 from tellerscope.llm.packing import pack
+from tellerscope.llm.tool_calls import TURN_SCHEMAS, calls_of_turns, link_tool_calls
 from tellerscope.llm.warc import warc_index
 from tellerscope.llm.wavelet import token_files
 
@@ -64,6 +65,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_of_turns(table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, TURN_SCHEMAS)
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -105,6 +111,31 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '
 FROM r GROUP BY doc_id
 """
 
+OP9_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, conv_id || ':' || turn AS call_id, text FROM conversations WHERE role = 'user'
+), a AS (
+  SELECT conv_id, conv_id || ':' || (turn - 1) AS call_id, turn, text AS content
+  FROM conversations WHERE role = 'assistant'
+), r AS (
+  SELECT coalesce(c.conv_id, a.conv_id) AS conv_id, coalesce(c.turn, a.turn) AS turn,
+    coalesce(c.call_id, a.call_id) AS call_id, 0 AS level,
+    CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN a.call_id IS NULL THEN 'pending' ELSE 'answered' END AS status,
+    CAST(a.call_id IS NOT NULL AS BIGINT) AS n_results,
+    CASE WHEN c.call_id IS NULL THEN 'no call' WHEN c.text IS NULL THEN 'missing prompt' ELSE '' END AS errors,
+    c.text, a.content, c.turn AS asked
+  FROM c FULL JOIN a ON c.conv_id = a.conv_id AND c.call_id = a.call_id
+)
+SELECT conv_id, turn, call_id, level, status, n_results, errors = '' AS valid, errors,
+  '{"arguments":' || CASE WHEN status = 'orphan' THEN 'null' WHEN text IS NULL THEN '{"turn":' || asked || '}'
+      ELSE '{"prompt":' || to_json(text) || ',"turn":' || asked || '}' END
+  || ',"call_id":"' || call_id || '","content":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null')
+  || ',"conv_id":' || conv_id || ',"errors":[' || CASE WHEN errors = '' THEN '' ELSE '"' || errors || '"' END
+  || '],"level":0,"name":' || CASE WHEN status = 'orphan' THEN 'null' ELSE '"respond"' END
+  || ',"status":"' || status || '","turn":' || turn || '}' AS json
+FROM r
+"""
+
 OP10_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x
@@ -131,9 +162,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language_id": op8_language_id,
+        "op9_tool_calls": op9_tool_calls,
         "op10_exact_top_k": op10_exact_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op10_exact_top_k": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op9_tool_calls": OP9_SQL, "op10_exact_top_k": OP10_SQL}
