@@ -1,19 +1,23 @@
 """Token ids by the tokenizers library, with a cache of the pieces between blanks.
 
 Both vocabularies used here treat the pieces between single blanks or line ends on their
-own, so each distinct piece is encoded once by the library and then looked up. A text in which
-white space meets white space goes to the library as a whole where blanks matter.
+own, so each distinct piece is encoded once by the library and then looked up. A piece of
+Latin letters, with or without a full stop or comma behind it, is one word for either
+vocabulary and goes to the library's merge model directly; other pieces take the library's
+whole way. A text in which white space meets white space goes to the library as a whole where
+blanks matter.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 import numpy as np
 
 IDS = np.dtype("<u2")
-MOST_PIECES = 500_000
+MOST_PIECES = 800_000
 _ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z")
 
 
@@ -37,6 +41,11 @@ class LibraryEncoder:
         mark = self.library.encode(self.mark, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
         self.mark_bytes = np.array(mark, IDS).tobytes()
+        # How byte-level vocabularies write bytes: visible ones as themselves, others from U+0100.
+        seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in set(seen)]
+        self.written = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.stops = {c: self.whole([c])[0] for c in ".,"}
         # Pieces at the start of a line, and pieces after a blank.
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = self.first if not blanks else {}
@@ -44,8 +53,29 @@ class LibraryEncoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, IDS).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of one word of letters, by the merge model alone."""
+        written = (lead + word).encode().decode("latin-1").translate(self.written)
+        return np.array([t.id for t in self.library.model.tokenize(written)], IDS).tobytes()
+
+    def _simple(self, piece: str, cache: dict[str, bytes], lead: str) -> bytes | None:
+        """Ids of a piece of Latin letters, perhaps with one stop behind it; None for others."""
+        stop = piece[-1:] if piece[-1:] in self.stops else ""
+        word = piece[:-1] if stop else piece
+        if not word.isalpha() or not (word.isascii() or (max(word) < "\u0250" and unicodedata.is_normalized("NFC", word))):
+            return None
+        if not self.blanks:
+            word = word.lower()
+        found = cache.get(word)
+        if found is None:
+            found = self._word(word, lead)
+        return found + self.stops[stop] if stop else found
+
     def _learn(self, cache: dict[str, bytes], pieces, lead: str) -> None:
         new = [p for p in set(pieces) if p not in cache]
+        simple = {p: self._simple(p, cache, lead) for p in new}
+        cache.update((p, ids) for p, ids in simple.items() if ids is not None)
+        new = [p for p, ids in simple.items() if ids is None]
         if not new:
             return
         plain = [p for p in new if self.mark not in p] if self.mark_id is not None else []
