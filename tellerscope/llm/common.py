@@ -98,6 +98,23 @@ def slices(batch: pa.RecordBatch, sizes, limit: int) -> Iterator[pa.RecordBatch]
         yield batch.slice(start)
 
 
+#: Rows up to which a list of keys is broadcast; longer ones are joined by shuffle.
+MOST_BROADCAST = 200_000
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``dropped`` (doc_id, text_hash) names.
+
+    ``text_hash`` is ``xxhash64`` of the text, null counting as empty: an id alone does not
+    name a row where ids repeat. ``dropped`` should be a written table, as it is counted.
+    """
+    dropped = dropped.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    if dropped.count() <= MOST_BROADCAST:
+        dropped = F.broadcast(dropped)
+    own = docs["doc_id"].cast("long").eqNullSafe(dropped["__id"]) & (F.xxhash64(text_or_empty()) == dropped["__hash"])
+    return docs.join(dropped, own, "left_anti")
+
+
 def spread_join(rows: DataFrame, lookup: DataFrame, key: str, hot: list[bytes], ways: int, by: list[str], how: str = "inner") -> DataFrame:
     """Join (inner or left) on a binary ``key`` that ``lookup`` holds once.
 

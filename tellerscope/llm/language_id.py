@@ -32,6 +32,8 @@ UNDETERMINED = "und"
 BUCKETS = 2048
 MOST_GRAM = 3
 BLOCK = 1 << 18
+#: Scores below this are no better than two coin tosses; such texts count as rejected.
+LEAST_SCORE = 0.25
 EPOCHS = 20
 COST = 10.0
 #: Most labelled rows of a language that the fit reads, as an expected count.
@@ -171,6 +173,29 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     return Model(languages, weights, intercepts)
 
 
+def _predict(model: Model, text: str | None) -> tuple[str, float]:
+    if text and model.languages and any(map(str.isalpha, text)):
+        return model.predict(shares(text) @ model.weights + model.intercepts)
+    return UNDETERMINED, 0.0
+
+
+def with_language(docs: DataFrame, model: Model | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language is told with at least ``least_score``.
+
+    Rejected are texts that are null or hold no letter, and those for which the machines of
+    family and language are both near a coin toss. If nothing was learned, all rows stay.
+    """
+    model = model or fit(docs)
+    if not model.languages:
+        return docs
+
+    def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [_predict(model, text) for text in batch["text"].to_pylist()]
+        return batch.filter(pa.array([lang != UNDETERMINED and score >= least_score for lang, score in found], pa.bool_()))
+
+    return map_rows(docs, choose, docs.schema)
+
+
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (0 to 1).
 
@@ -181,13 +206,8 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """
     model = model or fit(docs)
     def predict(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = [], []
-        for text in batch["text"].to_pylist():
-            lang, score = UNDETERMINED, 0.0
-            if text and model.languages and any(map(str.isalpha, text)):
-                lang, score = model.predict(shares(text) @ model.weights + model.intercepts)
-            langs.append(lang)
-            scores.append(score)
+        found = [_predict(model, text) for text in batch["text"].to_pylist()]
+        langs, scores = [lang for lang, _ in found], [score for _, score in found]
         return pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))

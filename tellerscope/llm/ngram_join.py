@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import kept, map_rows, spread_join, stored
+from tellerscope.llm.common import MOST_BROADCAST, kept, map_rows, spread_join, stored
 from tellerscope.llm.components import components
 
 WORDS = 5
@@ -34,8 +34,6 @@ MOST_MATCHES = 64
 #: Cost of reading one shingle when a candidate is verified, in postings.
 VERIFY_COST = 0.05
 MOST_WORDS = 400_000
-#: Rows up to which the ids of documents to verify are broadcast; more are joined by shuffle.
-MOST_BROADCAST = 200_000
 HOT_SHARE = 1000
 WAYS = 32
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -151,19 +149,23 @@ def prefix(found: np.ndarray, costs: np.ndarray, similarity: tuple[int, int]) ->
 
 
 def document_sets(docs: DataFrame, k: int, similarity: tuple[int, int], costs: np.ndarray) -> DataFrame:
-    """(doc_id, n, signature, matches, prefix) of every document; the signature names the set."""
+    """(doc_id, text_hash, n, signature, matches, prefix) of every document.
+
+    The signature names the set.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(costs)
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+        for text in batch["text"]:
             found = shingles(text.as_py(), k)
             tokens, matches = prefix(found, shared.value, similarity) if len(found) else (found, 0)
-            rows.append((doc, len(found), xxhash.xxh3_128_digest(found.tobytes()), matches, tokens.view(np.int64)))
-        ids, sizes, names, matches, tokens = zip(*rows) if rows else [[]] * 5
+            rows.append((len(found), xxhash.xxh3_128_digest(found.tobytes()), matches, tokens.view(np.int64)))
+        sizes, names, matches, tokens = zip(*rows) if rows else [[]] * 4
         return pa.RecordBatch.from_pydict(
             {
-                "doc_id": pa.array(ids, pa.int64()),
+                "doc_id": batch["doc_id"],
+                "text_hash": batch["text_hash"],
                 "n": pa.array(sizes, pa.int64()),
                 "signature": pa.array(names, pa.binary()),
                 "matches": pa.array(matches, pa.int32()),
@@ -171,7 +173,7 @@ def document_sets(docs: DataFrame, k: int, similarity: tuple[int, int], costs: n
             }
         )
 
-    return map_rows(docs.select("doc_id", "text"), sets, "doc_id long, n long, signature binary, matches int, prefix array<long>")
+    return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), sets, "doc_id long, text_hash long, n long, signature binary, matches int, prefix array<long>")
 
 
 def shared_postings(classes: DataFrame) -> DataFrame:
@@ -238,7 +240,7 @@ def _candidates(counted: DataFrame, classes: DataFrame, similarity: tuple[int, i
 def ngram_join(docs: DataFrame, k: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(documents, links).
 
-    Documents: doc_id, n_shingles, component_id, one row per row of ``docs``. Documents are
+    Documents: doc_id, n_shingles, component_id, text_hash, one row per row of ``docs``. Documents are
     linked where similarity[1] * intersection >= similarity[0] * union; ``component_id`` is
     the smallest id that links reach, the own one included. Links: first_a, first_b, shared:
     the verified links between sets, named by the smallest id that has the set; they span the
@@ -284,9 +286,9 @@ def ngram_join(docs: DataFrame, k: int = WORDS, similarity: tuple[int, int] = SI
     by_set = stored(named.join(least, "root").select("signature", "component_id", "size"), "components")
     total = by_set.agg(F.sum("size")).first()[0] or 0
     hot = [bytes(r[0]) for r in by_set.filter(F.col("size") > max(WAYS, total // HOT_SHARE)).select("signature").collect()]
-    full = spread_join(sets.filter("n > 0").select("doc_id", "n", "signature"), by_set.drop("size"), "signature", hot, WAYS, ["doc_id"])
-    out = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    full = spread_join(sets.filter("n > 0").select("doc_id", "text_hash", "n", "signature"), by_set.drop("size"), "signature", hot, WAYS, ["doc_id"])
+    out = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash")
+    empty = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash")
     first = info.select("class_id", "first_doc")
     named_links = links.join(first.withColumnsRenamed({"class_id": "a", "first_doc": "first_a"}), "a").join(first.withColumnsRenamed({"class_id": "b", "first_doc": "first_b"}), "b")
     return out.unionByName(empty), named_links.select("first_a", "first_b", "shared")

@@ -28,7 +28,8 @@ def vocabulary(name: str) -> str:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents"), k=3, similarity=(90, 100))[0]
+    found, _ = ngram_join(table(spark, sf_dir, "documents"), k=3, similarity=(90, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import make_folder, spread_join, stored, write_stream
+from tellerscope.llm.common import MOST_BROADCAST, make_folder, spread_join, stored, write_stream
 from tellerscope.session import work_dir
 
 LEAST_BYTES = 100
@@ -33,7 +33,6 @@ ARCHIVE_BYTES = 16 << 20
 ARCHIVE_RECORDS = 20_000
 RANGE_ROWS = 200_000
 SAMPLES_PER_RANGE = 20
-MOST_BROADCAST = 200_000
 HOT_SHARE = 1000
 WAYS = 32
 FIRST_CAPTURE = datetime(2024, 1, 1, tzinfo=timezone.utc)
