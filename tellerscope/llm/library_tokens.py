@@ -66,6 +66,8 @@ class LibraryEncoder:
             return None
         if not self.blanks:
             word = word.lower()
+            if not word.isalpha():
+                return None
         found = cache.get(word)
         if found is None:
             found = self._word(word, lead)
