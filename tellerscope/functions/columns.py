@@ -13,13 +13,17 @@ def to_double(name: str) -> Column:
     return F.expr(f"try_cast(`{name}` AS double)")
 
 
-def money(col: Column | str) -> Column:
-    """Amounts as exact decimals, so sums do not depend on the order of the rows."""
-    return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
-
-
 def money_sum(col: Column | str) -> Column:
-    return F.sum(money(col)).cast("double")
+    """Sum of amounts as double, not rounded, and the same in any order of the rows.
+
+    Amounts below 1e18 are summed as exact decimals with ten digits after the point. The
+    others, infinities and NaN are summed as doubles and added.
+    """
+    amount = (F.col(col) if isinstance(col, str) else col).cast("double")
+    exact = F.abs(amount) < 1e18
+    small = F.sum(F.when(exact, amount).cast("decimal(28,10)")).cast("double")
+    large = F.sum(F.when(~exact, amount))
+    return F.when(large.isNull(), small).otherwise(large + F.coalesce(small, F.lit(0.0)))
 
 
 def clean_code(name: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerscope.functions.columns import money_sum
@@ -84,15 +84,19 @@ def last_steps(df: DataFrame, hours: int = 720) -> DataFrame:
 
 
 def fraud_over_time(gold: DataFrame, anchor_ts: datetime | str, hours: int = 720) -> DataFrame:
-    """Hourly count and value of fraud; step 0 is ``anchor_ts`` (UTC)."""
-    hourly = (
-        last_steps(gold, hours)
-        .filter("is_fraud")
-        .groupBy("step")
-        .agg(
-            F.count(F.lit(1)).alias("nbFraudTransactions"),
-            money_sum("amount").alias("sumFraudTransactions"),
-        )
+    """Hourly count and value of fraud; step 0 is ``anchor_ts`` (UTC).
+
+    Gold is read once: it is reduced to one row per step, and the newest step is that of the
+    small result, which one task may hold.
+    """
+    fraud = F.col("is_fraud")
+    steps = gold.groupBy("step").agg(
+        F.count_if(fraud).alias("nbFraudTransactions"),
+        money_sum(F.when(fraud, F.col("amount"))).alias("sumFraudTransactions"),
+    )
+    newest = F.max("step").over(Window.partitionBy(F.lit(1)))
+    hourly = steps.withColumn("newest", newest).filter(
+        (F.col("step") >= F.col("newest") - hours) & (F.col("nbFraudTransactions") > 0)
     )
     anchor = F.lit(str(anchor_ts)).cast("timestamp_ntz")
     hour = F.make_dt_interval(hours=F.col("step").cast("int"))

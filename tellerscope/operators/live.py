@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tellerscope.functions.columns import money, money_sum
+from tellerscope.functions.columns import money_sum
 from tellerscope.operators.analytics import latest, top
 
 def _fraud() -> Column:
@@ -25,7 +25,7 @@ def metric_columns() -> list[Column]:
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(_fraud()).alias("fraud_count"),
         F.count_if(~_fraud()).alias("legit_count"),
-        F.sum(money("amount")).alias("amount_sum"),
+        F.round(money_sum("amount"), 2).alias("amount_sum"),
     ]
 
 
@@ -36,7 +36,7 @@ def finish_metrics(sums: DataFrame) -> DataFrame:
         "fraud_count",
         "legit_count",
         F.coalesce(rate, F.lit(0.0)).alias("fraud_rate"),
-        F.coalesce(F.col("amount_sum").cast("double"), F.lit(0.0)).alias("total_amount"),
+        F.coalesce("amount_sum", F.lit(0.0)).alias("total_amount"),
     )
 
 
@@ -51,7 +51,7 @@ def flow_counts(scored: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("total_count"),
         F.count_if(_fraud()).alias("fraud_count"),
-        money_sum("amount").alias("total_amount"),
+        F.round(money_sum("amount"), 2).alias("total_amount"),
     )
 
 

@@ -185,15 +185,18 @@ GOLD_RISK = RISK.format(
 )
 LIVE_RISK = RISK.format(txns=f"SELECT id, {COLLAPSED} FROM ({LIVE_TXNS}) GROUP BY id")
 
-MONEY = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+# The queries that sum money see amounts with more decimals than the tables have.
+FINE = "(amount * 1.00037E0)"
+MONEY = f"CAST(sum(CAST({FINE} AS DECIMAL(28,10))) AS DOUBLE)"
 LARGE = "amount > 350000"
+FINE_LARGE = f"{FINE} > 350000"
 
 DOUBTFUL = """SELECT * REPLACE (
     CASE WHEN type <> 'DEBIT' THEN customer_id END AS customer_id,
     CASE WHEN step <> 500 THEN amount - 50000 END AS amount) FROM bronze_transactions"""
 
 FLOWS = f"""SELECT country_orig AS source, country_dest AS target, count(*) AS total_count,
-  count(*) FILTER (fraud_prediction) AS fraud_count, {MONEY} AS total_amount
+  count(*) FILTER (fraud_prediction) AS fraud_count, round({MONEY}, 2) AS total_amount
 FROM scored_transactions GROUP BY ALL ORDER BY total_count DESC, source, target LIMIT 30"""
 
 BUCKETS = """SELECT CAST(floor(epoch_us(timestamp) / 1000000 / 10) * 10 AS BIGINT) AS timestamp,
@@ -206,7 +209,7 @@ METRICS = f"""SELECT count(*) AS total_transactions,
   count(*) FILTER (NOT fraud_prediction) AS legit_count,
   CASE WHEN count(*) > 0
        THEN round(count(*) FILTER (fraud_prediction) * 100.0E0 / count(*), 2) ELSE 0 END AS fraud_rate,
-  coalesce({MONEY}, 0) AS total_amount
+  coalesce(round({MONEY}, 2), 0) AS total_amount
 FROM scored_transactions"""
 
 COUNTS_FLOW = f"""SELECT countryOrig, countryDest, type, count(amount) AS value
@@ -262,6 +265,10 @@ FROM scored_transactions""",
     "parse_json_messages": """SELECT k AS id, type, amount, CAST(o_custkey AS INT) AS customer_id,
   oldBalanceOrig AS old_balance_orig, CAST(NULL AS STRING) AS firstname
 FROM txn_base WHERE k % 17 <> 0 AND k % 13 <> 0""",
+    "rejected_messages": """SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'unreadable'
+    WHEN o_orderkey % 17 = 0 THEN 'no id' ELSE 'no time' END AS reason, count(*) AS count
+FROM orders JOIN customer ON c_custkey = o_custkey
+WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 GROUP BY 1""",
     "insert_if_absent": """SELECT id, type,
   CASE WHEN type IN ('TRANSFER', 'CASH_OUT') THEN amount ELSE amount + 2 END AS amount
 FROM scored_transactions""",
@@ -323,8 +330,8 @@ WHERE step BETWEEN (SELECT max(step) - 720 FROM gold_transactions)
     "type_baseline_join": f""", {STATS} SELECT id, t.type, amount, fraud_rate_type, p50_amount_type,
   p90_amount_type, p95_amount_type, p99_amount_type
 FROM gold_transactions t LEFT JOIN type_stats s ON t.type = s.type""",
-    "fraud_amount_by_country": f"""SELECT countryOrig, countryDest, type, {MONEY} AS value
-FROM gold_transactions WHERE is_fraud AND {LARGE} GROUP BY ALL
+    "fraud_amount_by_country": f"""SELECT countryOrig, countryDest, type, round({MONEY}, 4) AS value
+FROM gold_transactions WHERE is_fraud AND {FINE_LARGE} GROUP BY ALL
 ORDER BY value DESC, countryOrig, countryDest, type LIMIT 1000""",
     "country_flow_top20": COUNTS_FLOW,
     "sankey_rollup": f"""SELECT countryOrig, countryDest, CAST(sum(value) AS BIGINT) AS value
@@ -337,17 +344,17 @@ FROM gold_transactions GROUP BY ALL""",
     "fraud_dest_countries": f"""SELECT DISTINCT countryDest FROM gold_transactions
 WHERE is_fraud AND {LARGE}""",
     "fraud_over_time": f"""SELECT TIMESTAMP '2024-01-01 00:00:00' + step * INTERVAL 1 HOUR AS ts,
-  count(*) AS nbFraudTransactions, {MONEY} AS sumFraudTransactions
+  count(*) AS nbFraudTransactions, round({MONEY}, 4) AS sumFraudTransactions
 FROM gold_transactions WHERE is_fraud
   AND step >= (SELECT max(step) - 720 FROM gold_transactions) GROUP BY 1 ORDER BY 1""",
     "silver_counts": """SELECT is_fraud, source_file, count(*) AS count FROM silver_transactions
 GROUP BY ALL ORDER BY 2, 1""",
     "source_file_counts": """SELECT source_file, count(*) AS count FROM bronze_transactions
 GROUP BY ALL""",
-    "amount_by_origin": f"""SELECT countryOrig, {MONEY} AS sum_amount FROM bronze_transactions
+    "amount_by_origin": f"""SELECT countryOrig, round({MONEY}, 4) AS sum_amount FROM bronze_transactions
 GROUP BY ALL""",
-    "large_flows_rounded": f"""SELECT countryOrig, countryDest, type, is_fraud, {MONEY} AS value
-FROM gold_transactions WHERE {LARGE} GROUP BY ALL ORDER BY 1, 2, 3, 4""",
+    "large_flows_rounded": f"""SELECT countryOrig, countryDest, type, is_fraud, round({MONEY}, 2) AS value
+FROM gold_transactions WHERE {FINE_LARGE} GROUP BY ALL ORDER BY 1, 2, 3, 4""",
     "fraud_counts": "SELECT is_fraud, count(*) AS count FROM gold_transactions GROUP BY ALL",
     "table_count": "SELECT count(*) AS rows FROM gold_transactions",
     "numeric_profile": f"""SELECT type, CAST(is_fraud AS INT) AS is_fraud, count(*) AS count,

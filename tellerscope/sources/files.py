@@ -34,19 +34,16 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
-def infer_schema(
-    spark: SparkSession, path: str, fmt: str = "csv", max_files: int = 1000
-) -> T.StructType:
-    """Typed schema of existing files, to be given to ``ingest_files``.
+def infer_schema(spark: SparkSession, path: str, fmt: str = "csv") -> T.StructType:
+    """Typed schema of all existing files, to be given to ``ingest_files``.
 
-    Looks at the first ``max_files`` files; a value that does not fit later becomes NULL,
-    or rescued content where ``read_with_rescue`` is used.
+    A value of a file that comes later and does not fit becomes NULL, or rescued content
+    where ``read_with_rescue`` is used.
     """
     reader = spark.read.options(**_options(fmt, True))
     if fmt == "csv":
         reader = reader.option("inferSchema", True)
-    known = sorted(spark.read.text(path).inputFiles())
-    return reader.format(fmt).load(known[:max_files] or path).schema
+    return reader.format(fmt).load(path).schema
 
 
 def read_files(
@@ -147,16 +144,14 @@ def load_static(
 ) -> bool:
     """Create a table from files; ``False``, and nothing changed, if it is there already.
 
+    Files that are not there, or cannot be read, raise an error.
+
     ``location`` keeps the table's data in a folder of its own, outside the warehouse.
     """
     if spark.catalog.tableExists(target):
         return False
-    try:
-        _save(read_files(spark, path, fmt, header), target, "errorifexists", location)
-        return True
-    except AnalysisException as error:
-        print(f"table {target} not created: {error}")
-        return False
+    _save(read_files(spark, path, fmt, header), target, "errorifexists", location)
+    return True
 
 
 def replace_static(

@@ -19,6 +19,26 @@ def parse_messages(df: DataFrame, schema: T.StructType = RAW_MESSAGE) -> DataFra
     return rows.withColumn("id", F.col("id").try_cast("bigint")).filter(F.col("id").isNotNull())
 
 
+def rejected(df: DataFrame, schema: T.StructType = RAW_MESSAGE) -> DataFrame:
+    """(value, reason) of the messages that ``parse_messages`` leaves out or cannot date.
+
+    The reasons are ``unreadable``, ``no id`` and ``no time``; rows of the last kind are kept
+    by the parser with a NULL time.
+    """
+    text = F.col("value").cast("string")
+    bad = "__unreadable"
+    fields = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    data = F.from_json(text, fields, {"columnNameOfCorruptRecord": bad})
+    rows = df.select(text.alias("value"), data.alias("data"))
+    time = F.col("data.timestamp")
+    reason = (
+        F.when(F.col("data").isNull() | F.col(f"data.{bad}").isNotNull(), "unreadable")
+        .when(F.col("data.id").try_cast("bigint").isNull(), "no id")
+        .when(time.isNotNull() & time.try_cast("timestamp").isNull(), "no time")
+    )
+    return rows.select("value", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def kafka_options(
     bootstrap: str, topic: str, user: str | None = None, password: str | None = None,
     starting: str = "latest",

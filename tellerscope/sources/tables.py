@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,34 +66,56 @@ def relabel(target: DataFrame, reports: DataFrame, key: str = "id") -> DataFrame
     return joined.withColumn("is_fraud", F.coalesce("is_fraud", "__late")).select(*target.columns)
 
 
+def folder_name(batch_id: int, run: str = "") -> str:
+    return f"{run}-{batch_id}" if run else str(batch_id)
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the runs on one checkpoint, kept beside it: the same after every restart."""
+    path = f"{checkpoint.rstrip('/')}_run"
+    known = read_target(spark, path, "run string")
+    if known is None:
+        new = spark.range(1).select(F.lit(uuid.uuid4().hex[:12]).alias("run"))
+        new.write.mode("errorifexists").parquet(path)
+        known = read_target(spark, path, "run string")
+    return known.first()["run"]
+
+
 def insert_if_absent(
     batch: DataFrame,
     target_path: str,
     batch_id: int,
     key: str = "id",
     order: Sequence[str] = ("timestamp",),
+    run: str = "",
 ) -> None:
     """Insert each key once; the first writer wins and later rows are ignored.
 
-    A batch owns the folder ``batch_id=N`` and replaces it, so a retried batch changes
-    nothing. Within a batch the row lowest in ``order`` is kept.
+    A batch owns the folder of its ``run`` and number and replaces it, so a retried batch
+    changes nothing. A stream on a new checkpoint is another run (see ``run_name``): it counts
+    from 0 again, but never touches the rows that were stored before. Within a batch the row
+    lowest in ``order``, then in its other columns, is kept.
     """
     spark = batch.sparkSession
-    first = one_per_key(batch.filter(F.col(key).isNotNull()), key, list(order), newest=False)
+    name = folder_name(batch_id, run)
+    ties = [c for c, t in batch.dtypes if c not in (key, *order) and not t.startswith("map")]
+    first = one_per_key(
+        batch.filter(F.col(key).isNotNull()), key, [*order, *ties], newest=False
+    )
     first = first.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         target = read_target(spark, target_path)
         rows = first
         if target is not None:
-            rows = first.join(_present(target, first, batch_id, key), key, "left_anti")
+            rows = first.join(_present(target, first, name, key), key, "left_anti")
         rows.select(*batch.columns).write.mode("overwrite").parquet(
-            f"{target_path}/{BATCH}={batch_id}"
+            f"{target_path}/{BATCH}={name}"
         )
     finally:
         first.unpersist()
 
 
-def _present(target: DataFrame, batch: DataFrame, batch_id: int, key: str) -> DataFrame:
+def _present(target: DataFrame, batch: DataFrame, name: str, key: str) -> DataFrame:
     """Keys of ``batch`` that other batches wrote.
 
     The key range prunes row groups of the target, and the small batch side, not the
@@ -101,7 +124,7 @@ def _present(target: DataFrame, batch: DataFrame, batch_id: int, key: str) -> Da
     low, high = batch.agg(F.min(key), F.max(key)).first()
     if low is None:
         return target.select(key).limit(0)
-    keys = target.filter((F.col(BATCH) != batch_id) & F.col(key).between(low, high)).select(key)
+    keys = target.filter((F.col(BATCH).cast("string") != name) & F.col(key).between(low, high)).select(key)
     return keys.join(batch.select(key), key, "left_semi")
 
 

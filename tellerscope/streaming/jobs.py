@@ -19,7 +19,7 @@ from tellerscope.operators.medallion import TXN_RULES, observe_expectations, sil
 from tellerscope.operators.ml import NUMERIC, predict
 from tellerscope.schemas import SCORED
 from tellerscope.sources.messages import parse_messages
-from tellerscope.sources.tables import BATCH, insert_if_absent
+from tellerscope.sources.tables import BATCH, folder_name, insert_if_absent, run_name
 
 MICRO_BATCH = {"processingTime": "2 seconds"}
 ONCE = {"availableNow": True}
@@ -47,7 +47,10 @@ def silver_stream(bronze_stream: DataFrame, reports: DataFrame, rules=TXN_RULES)
 
 
 def score_messages(messages: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
-    """Parsed and scored rows in the columns of the scored table (batch or stream)."""
+    """Parsed and scored rows in the columns of the scored table (batch or stream).
+
+    A time that is none becomes NULL; ``messages.rejected`` reports it.
+    """
     parsed = parse_messages(messages)
     inputs = parsed.withColumns(
         {new: F.col(old).cast("float") if new in NUMERIC else F.col(old)
@@ -56,7 +59,7 @@ def score_messages(messages: DataFrame, model: PipelineModel, threshold: float =
     kept = [c for c in SCORED.fieldNames() if c in parsed.columns]
     scored = predict(inputs, model, threshold)
     return scored.select(
-        *[F.col(c).cast(SCORED[c].dataType).alias(c) for c in kept],
+        *[F.col(c).try_cast(SCORED[c].dataType).alias(c) for c in kept],
         "fraud_prediction",
         "fraud_probability",
         F.current_timestamp().alias("scored_at"),
@@ -75,10 +78,12 @@ def stream_score(
     A scoring error fails the batch, which is then retried as a whole.
     """
 
+    run = run_name(messages.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        insert_if_absent(batch, target, batch_id)
+        insert_if_absent(batch, target, batch_id, run=run)
 
     return (
         score_messages(messages, model)
@@ -116,9 +121,37 @@ def stream_time_buckets(
     )
 
 
-def dedup(stream: DataFrame, key: str = "id", ts: str = "timestamp", delay: str = "10 minutes"):
-    """First row per key within ``delay``; ``insert_if_absent`` keeps uniqueness beyond it."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def dedup(stream: DataFrame, key: str = "id", delay: str = "10 minutes") -> DataFrame:
+    """One row per key among those that arrive within ``delay`` of each other.
+
+    The watermark is on the time of arrival, so a row is never late, however old its own
+    time, and no new key is lost. ``dedup_into`` keeps keys unique beyond ``delay``.
+    """
+    arrived = stream.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", delay)
+    return arrived.dropDuplicatesWithinWatermark([key]).drop("__arrived")
+
+
+def dedup_into(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    key: str = "id",
+    order: tuple[str, ...] = ("timestamp",),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Store the first row per key for good: each batch inserts only keys ``target`` lacks."""
+    run = run_name(stream.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            insert_if_absent(batch, target, batch_id, key, order, run)
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or MICRO_BATCH))
+        .start()
+    )
 
 
 def publish_latest(
@@ -151,15 +184,16 @@ def stream_current(
 ) -> StreamingQuery:
     """Reduce each batch of the log to the newest change per key and keep it.
 
-    A batch replaces its own folder, so a retry changes nothing, and no batch rewrites
-    what earlier ones stored. ``read_current`` resolves the batches.
+    A batch replaces its own folder, so a retry changes nothing, and no batch, nor a stream
+    on a new checkpoint, rewrites what earlier ones stored. ``read_current`` resolves them.
     """
+    run = run_name(log_stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         last_changes(batch, key, seq, change).write.mode("overwrite").parquet(
-            f"{target}/{BATCH}={batch_id}"
+            f"{target}/{BATCH}={folder_name(batch_id, run)}"
         )
 
     return (

@@ -104,3 +104,11 @@ def test_scoring_beside_observed_metrics(spark, rows, model):
     spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count()
     assert seen.get == {"n": 3}
     assert ml.predict(rows, model).count() == rows.count()
+
+
+def test_importance_names_keep_the_text_of_the_category(spark):
+    rows = [(str(i), float(i), 1.0, 2.0, 0.0, 0.0, "a_fee" if i % 2 else "b_f_v_", "X_f", "Y", float(i % 2)) for i in range(40)]
+    columns = "id string, amount float, newBalanceDest float, oldBalanceDest float, diffOrig float, diffDest float, type string, countryOrig_name string, countryDest_name string, label float"
+    train = spark.createDataFrame(rows, columns)
+    names = {r.feature for r in ml.importances(ml.fit_rf(train, trees=2, depth=2), train).collect()}
+    assert {"type_a_fee", "type_b_f_v_", "countryOrig_name_X_f", "countryDest_name_Y", "amount"} <= names

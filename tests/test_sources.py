@@ -5,6 +5,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tellerscope.operators import profile
 from tellerscope.schemas import COUNTRIES, FRAUD_REPORTS
@@ -88,7 +89,8 @@ def test_static_tables(spark, folder):
     try:
         assert files.load_static(spark, folder, "static_t") is True
         assert files.load_static(spark, folder, "static_t") is False
-        assert files.load_static(spark, f"{folder}/missing", "static_u") is False
+        with pytest.raises(AnalysisException):
+            files.load_static(spark, f"{folder}/missing", "static_u")
         put(folder, "b.csv", "id,is_fraud,more\n2,1,y\n")
         files.replace_static(spark, folder, "static_t")
         assert spark.table("static_t").count() == 2
@@ -206,3 +208,35 @@ def test_small_source_is_looked_up(spark, folder):
     other_way = tables.new_rows(target, source)
     assert "LeftSemi" not in other_way._jdf.queryExecution().optimizedPlan().toString()
     assert other_way.count() == 19_999
+
+
+def test_a_new_run_leaves_stored_rows(spark, folder):
+    target = f"{folder}/scored"
+    tables.insert_if_absent(batch(spark, (1, "1", "a")), target, 0, run="first")
+    tables.insert_if_absent(batch(spark, (2, "1", "b"), (1, "0", "x")), target, 0, run="second")
+    assert {(r.id, r.v) for r in tables.read_scored(spark, target).collect()} == {(1, "a"), (2, "b")}
+    names = [tables.run_name(spark, f"{folder}/{c}") for c in ("one", "one", "two")]
+    assert names[0] == names[1] != names[2]
+
+
+def test_ties_have_one_answer(spark, folder):
+    rows = [(1, "1", "b"), (1, "1", "a"), (1, "1", None)]
+    for n, order in enumerate((rows, rows[::-1])):
+        tables.insert_if_absent(batch(spark, *order).repartition(3), f"{folder}/{n}", 0)
+    got = [tables.read_scored(spark, f"{folder}/{n}").collect() for n in range(2)]
+    assert got[0] == got[1] and len(got[0]) == 1
+
+
+def test_types_are_inferred_from_all_files(spark, folder):
+    for i, value in enumerate(("1", "2", "2.5")):
+        put(folder, f"{i}.csv", f"amount\n{value}\n")
+    schema = files.infer_schema(spark, folder)
+    assert schema["amount"].dataType.simpleString() == "double"
+
+
+def test_rejected_messages(spark):
+    texts = ['{"id": 1, "timestamp": "2024-01-01 00:00:00"}', '{"id": 2, "timestamp": "soon"}', '{"id": 3}',
+             '{"amount": 3}', '{"id": "x"}', "{broken", None]
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [(r.value, r.reason) for r in messages.rejected(raw).collect()]
+    assert got == [(texts[1], "no time"), (texts[3], "no id"), (texts[4], "no id"), (texts[5], "unreadable"), (None, "unreadable")]

@@ -137,3 +137,17 @@ def test_money_sums_are_exact(spark):
     df = spark.createDataFrame([("A", 0.1)] * 10, "countryOrig string, amount double")
     assert analytics.sum_by(df, "countryOrig", "amount").first().sum_amount == 1.0
     assert math.fsum([0.1] * 10) == 1.0
+
+
+def test_money_is_rounded_after_the_sum(spark):
+    from tellerscope.functions.columns import money_sum
+
+    def total(*amounts):
+        rows = spark.createDataFrame([(a,) for a in amounts], "amount double")
+        return rows.agg(money_sum("amount").alias("s")).first().s
+
+    assert abs(total(*[0.004] * 1000) - 4.0) < 1e-9
+    assert total(1e17, 1.5) == 1e17 + 1.5 and total(1e20, 1.0) == 1e20 + 1.0
+    assert total() is None and total(None, 2.0) == 2.0
+    assert total(float("nan"), 1.0) != total(float("nan"), 1.0)
+    assert total(float("inf"), 1.0) == float("inf")

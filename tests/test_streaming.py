@@ -123,3 +123,27 @@ def test_scoring_stream_restarts(spark, bank, folder):
     assert rows[1].type == "TRANSFER" and rows[1].old_balance_orig == 400000.0
     assert 0.0 <= rows[1].fraud_probability <= 1.0 and rows[1].scored_at is not None
     assert rows[1].fraud_prediction == (rows[1].fraud_probability >= 0.5)
+
+
+def test_dedup_keeps_late_new_keys(spark, folder):
+    schema = "id long, timestamp timestamp, v string"
+    deliveries = [[(1, "2024-01-02", "a")], [(2, "2024-01-01", "b"), (1, "2024-01-01", "x")], [(3, "2023-01-01", "c")]]
+    for n, rows in enumerate(deliveries):
+        df = spark.createDataFrame(rows, "id long, timestamp string, v string")
+        df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        (jobs.dedup(stream).writeStream.format("parquet").option("path", f"{folder}/out")
+         .option("checkpointLocation", f"{folder}/one").trigger(**jobs.ONCE).start().awaitTermination())
+        jobs.dedup_into(stream, f"{folder}/kept", f"{folder}/two-{n}", trigger=jobs.ONCE).awaitTermination()
+    assert {(r.id, r.v) for r in spark.read.parquet(f"{folder}/out").collect()} == {(1, "a"), (2, "b"), (3, "c")}
+    assert {(r.id, r.v) for r in tables.read_scored(spark, f"{folder}/kept").collect()} == {(1, "a"), (2, "b"), (3, "c")}
+
+
+def test_a_message_without_time_does_not_stop_the_stream(spark, bank, folder):
+    model = ml.fit_rf(ml.features(bank.gold, with_label=True), trees=2, depth=2)
+    texts = ['{"id": 1, "timestamp": "not a time", "type": "DEBIT", "amount": 1}', '{"id": 2, "timestamp": "2024-01-01 00:00:00"}']
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(f"{folder}/inbox")
+    stream = spark.readStream.text(f"{folder}/inbox")
+    jobs.stream_score(stream, model, f"{folder}/scored", f"{folder}/checkpoint", jobs.ONCE).awaitTermination()
+    got = {r.id: r.timestamp for r in tables.read_scored(spark, f"{folder}/scored").collect()}
+    assert set(got) == {1, 2} and got[1] is None and got[2] is not None
