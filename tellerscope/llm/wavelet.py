@@ -86,7 +86,7 @@ class WaveletMatrix:
         for b in range(bits - 1, -1, -1):
             own = ((now >> b) & 1).astype(bool)
             planes.append(Plane.pack(own))
-            now = np.concatenate([now[~own], now[own]])
+            now = np.concatenate([np.compress(~own, now), np.compress(own, now)])
         return cls(planes, len(ids))
 
     def access(self, at) -> np.ndarray:
@@ -129,7 +129,7 @@ class WaveletMatrix:
         now = np.zeros(self.n, np.uint16)
         for i, p in enumerate(reversed(self.planes)):
             own, back = p.bits(), np.empty_like(now)
-            back[~own], back[own] = now[: p.zeros], now[p.zeros :]
+            back[np.flatnonzero(~own)], back[np.flatnonzero(own)] = now[: p.zeros], now[p.zeros :]
             back |= own.astype(np.uint16) << i
             now = back
         return now
