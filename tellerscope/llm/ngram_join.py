@@ -11,6 +11,10 @@ Equal sets are one class. Classes that share prefix shingles are first compared
 each, which joins groups of near copies without comparing all their pairs. The links so found
 give components, and then every candidate pair of classes in different components is compared
 exactly. So each link between components is found, and pairs inside one are never listed.
+
+Pairs become rows only where at most ``LONG_LIST`` components share a prefix shingle. Classes
+that share longer lists form families; a family is cut into blocks, each pair of blocks counts
+its overlaps in arrays, and gives only the links that join components.
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ SIMILARITY = (8, 10)
 SKETCH_BITS = 22
 SKETCH_BLOCK = 4096
 MOST_MATCHES = 64
+LONG_LIST = 16
+#: Sets and shingles of one block of a family.
+BLOCK_SETS = 1024
+BLOCK_SHINGLES = 1 << 21
 #: Cost of reading one shingle when a candidate is verified, in postings.
 VERIFY_COST = 0.05
 MOST_WORDS = 400_000
@@ -177,19 +185,19 @@ def document_sets(docs: DataFrame, k: int, similarity: tuple[int, int], costs: n
 
 
 def shared_postings(classes: DataFrame) -> DataFrame:
-    """(token, class_id, hub) of the prefix shingles of two or more classes.
+    """(token, class_id, n, hub) of the prefix shingles of two or more classes.
 
     A shingle's hub is its smallest class. Rows stream sorted by shingle, so that no list is
     gathered, however long.
     """
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = hub = None
+        last = hub = size_of = None
         alone = False  # the last row was the first of its shingle and is not yet given
         for batch in batches:
-            token, own = batch["token"].to_numpy(), batch["class_id"].to_numpy()
+            token, own, n = (batch[c].to_numpy() for c in ("token", "class_id", "n"))
             if last is not None:
-                token, own = np.append(last, token), np.append(hub, own)
+                token, own, n = np.append(last, token), np.append(hub, own), np.append(size_of, n)
             if not len(token):
                 continue
             start = np.append(True, token[1:] != token[:-1])
@@ -200,28 +208,36 @@ def shared_postings(classes: DataFrame) -> DataFrame:
             if last is not None and not alone:
                 give[0] = False  # its row was given before
             hubs = own[first][of]
-            yield pa.RecordBatch.from_arrays([pa.array(token[give]), pa.array(own[give]), pa.array(hubs[give])], ["token", "class_id", "hub"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (token, own, n, hubs)], ["token", "class_id", "n", "hub"])
             alone = bool(size[-1] == 1) and (alone or len(first) > 1 or last is None)
-            last, hub = token[-1], own[first[-1]]
+            last, hub, size_of = token[-1], own[first[-1]], n[first[-1]]
 
-    postings = classes.select(F.explode("prefix").alias("token"), "class_id")
-    return postings.repartition("token").sortWithinPartitions("token", "class_id").mapInArrow(group, "token long, class_id long, hub long")
+    postings = classes.select(F.explode("prefix").alias("token"), "class_id", "n")
+    return postings.repartition("token").sortWithinPartitions("token", "class_id").mapInArrow(group, "token long, class_id long, n long, hub long")
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
-    """The ``pairs`` (a, b) of classes whose sets are similar, with ``shared``, their overlap."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-    wanted = stored(classes.join(named, "class_id", "left_semi").select("class_id", F.col("signature").alias("name"), F.col("first_doc").alias("doc")), "to-verify")
+def class_sets(docs: DataFrame, classes: DataFrame, named: DataFrame, k: int) -> DataFrame:
+    """(class_id, shingles) of the classes that ``named`` (class_id) names."""
+    wanted = stored(classes.join(named.distinct(), "class_id", "left_semi").select("class_id", F.col("signature").alias("name"), F.col("first_doc").alias("doc")), "to-verify")
     if wanted.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(c, s.tolist()) for c, name, t in zip(batch["class_id"].to_pylist(), batch["name"].to_pylist(), batch["text"]) for s in [shingles(t.as_py(), k)] if xxhash.xxh3_128_digest(s.tobytes()) == name]
-        return pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()), pa.array([np.array(s, np.uint64).view(np.int64) for _, s in rows], pa.list_(pa.int64()))], ["class_id", "shingles"])
+        ids, found = [], []
+        for own, name, text in zip(batch["class_id"].to_pylist(), batch["name"].to_pylist(), batch["text"]):
+            one = shingles(text.as_py(), k)
+            if xxhash.xxh3_128_digest(one.tobytes()) == name:
+                ids.append(own)
+                found.append(one.view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc"])).select("class_id", "name", "text")
     found = map_rows(texts, sets, "class_id long, shingles array<long>").dropDuplicates(["class_id"])
-    found = stored(found, "sets")
+    return stored(found, "sets")
+
+
+def similar_pairs(found: DataFrame, pairs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` (a, b) whose sets in ``found`` are similar, with ``shared``, their overlap."""
     a, b = (found.select(F.col("class_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     met = pairs.join(a, "a").join(b, "b").select("a", "b", shared.alias("shared"), (F.size("sa") + F.size("sb")).alias("sizes"))
@@ -229,12 +245,97 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, simi
     return met.filter(similar).select("a", "b", "shared")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``."""
+    sets = left + right
+    lengths = [len(x) for x in sets]
+    tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), lengths)
+    often = np.bincount(at, minlength=len(tokens)) > 1
+    number = np.cumsum(often) - 1
+    row, column = row[often[at]], number[at[often[at]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = 4096
+    for a in range(0, int(often.sum()), width):
+        low, high = np.searchsorted(column, (a, a + width))
+        part = np.zeros((len(sets), width), np.float32)
+        part[row[low:high], column[low:high] - a] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out.astype(np.int64)
+
+
+def family_links(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(a, b, shared): links that join the components of each family.
+
+    ``members``: family, class_id, root, shingles. Every two members of a family meet in the
+    task of their pair of blocks; links inside a component known there are not given again.
+    """
+    sizes = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum(F.size("shingles")).alias("total"))
+    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.join(sizes.select("family", blocks.alias("blocks")), "family")
+    own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("second"), "class_id", "root", "shingles")
+
+    def links(family: tuple, rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
+        same = family[1] == family[2]
+        left = [r for r in rows if same or not r[0]]
+        right = left if same else [r for r in rows if r[0]]
+        if not left or not right:
+            return
+        shared = overlaps([r[3] for r in left], [r[3] for r in right])
+        sizes = [np.array([len(r[3]) for r in side]) for side in (left, right)]
+        union = sizes[0][:, None] + sizes[1] - shared
+        near = similarity[1] * shared >= similarity[0] * union
+        ids = [np.array([r[1] for r in side]) for side in (left, right)]
+        if same:
+            near &= ids[0][:, None] < ids[1]
+        _, root = np.unique([r[2] for r in left + right], return_inverse=True)
+        for i in np.flatnonzero(near.any(axis=1)):
+            there = np.flatnonzero(near[i])
+            _, first = np.unique(root[len(left) + there], return_index=True)
+            for j in there[first]:
+                x, y = root[i], root[len(left) + j]
+                if x != y:
+                    root[root == y] = x
+                    yield int(ids[0][i]), int(ids[1][j]), int(shared[i, j])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(now, rows):
+            columns = list(zip(*links(now, rows))) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "shared"])
+
+        now, rows = None, []
+        for batch in batches:
+            keys = zip(*(batch[c].to_pylist() for c in ("family", "p", "q")))
+            lists = batch["shingles"]
+            flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            ends = ends - ends[0]
+            for i, (key, second, own, root) in enumerate(zip(keys, *(batch[c].to_pylist() for c in ("second", "class_id", "root")))):
+                if key != now:
+                    if rows:
+                        yield out(now, rows)
+                    now, rows = key, []
+                rows.append((second, own, root, flat[ends[i] : ends[i + 1]].copy()))
+        if rows:
+            yield out(now, rows)
+
+    keys = ["family", "p", "q"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "class_id").mapInArrow(join, "a long, b long, shared long")
+
+
 def _candidates(counted: DataFrame, classes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Of (a, b, common): pairs that share enough prefix shingles and fit in size."""
-    a, b = (classes.select(F.col("class_id").alias(c), F.col("n").alias(f"n{c}"), F.col("matches").alias(f"m{c}")) for c in "ab")
+    """Of (a, b, common): pairs that share enough prefix shingles and fit in size.
+
+    ``more`` of a class is how many of its prefix shingles ``common`` leaves out.
+    """
+    a, b = (classes.select(F.col("class_id").alias(c), F.col("n").alias(f"n{c}"), (F.col("matches")).alias(f"m{c}"), F.col("more").alias(f"l{c}")) for c in "ab")
     met = counted.join(a, "a").join(b, "b")
     fits = similarity[1] * F.least("na", "nb") >= similarity[0] * F.greatest("na", "nb")
-    return met.filter((F.col("common") >= F.least("ma", "mb")) & fits).select("a", "b", "common")
+    enough = F.col("common") + F.least("la", "lb") >= F.least("ma", "mb")
+    return met.filter(enough & fits).select("a", "b", "common")
 
 
 def ngram_join(docs: DataFrame, k: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -260,25 +361,43 @@ def ngram_join(docs: DataFrame, k: int = WORDS, similarity: tuple[int, int] = SI
     shared = stored(shared_postings(classes), "postings")
 
     spokes = shared.filter("class_id <> hub").groupBy(F.col("class_id").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("common"))
-    best = _candidates(spokes, info, similarity).groupBy("a").agg(F.max_by("b", F.struct("common", "b")).alias("b"))
-    stars = stored(verified(docs, info, stored(best, "star-pairs"), k, similarity), "star-links")
+    alone = info.withColumn("more", F.lit(0))
+    best = _candidates(spokes, alone, similarity).groupBy("a").agg(F.max_by("b", F.struct("common", "b")).alias("b"))
+    best = stored(best, "star-pairs")
+    found = class_sets(docs, info, best.select(F.explode(F.array("a", "b")).alias("class_id")), k)
+    stars = stored(similar_pairs(found, best, similarity), "star-links")
     near = components(stars)
 
-    # All candidates between components: pairs of components per shingle, then their classes.
-    grown = shared.join(near.withColumnRenamed("node", "class_id"), "class_id", "left").select("token", "class_id", F.coalesce("root", "class_id").alias("root"))
-    grown = stored(grown, "postings-by-component")
-    held = grown.groupBy("token", "root").agg(F.count("*").alias("classes"), F.min("class_id").alias("one"))
-    several = held.groupBy("token").agg(F.count("*").alias("roots")).filter("roots > 1").select("token")
-    held = stored(held.join(several, "token"), "postings-between")
-    a, b = (held.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "classes", "one")]) for s in "ab")
-    met = a.join(b, "token").filter("root_a < root_b")
-    rest = grown.select("token", "root", "class_id").join(several, "token", "left_semi")
+    # All candidates between components. Shingles of few of them: pairs of components per
+    # shingle, then their classes.
+    grown = shared.join(near.withColumnRenamed("node", "class_id"), "class_id", "left")
+    grown = stored(grown.select("token", "class_id", "n", "hub", F.coalesce("root", "class_id").alias("root")), "postings-by-component")
+    held = grown.groupBy("token", "root").agg(F.count("*").alias("classes"), F.min("class_id").alias("one"), F.min("n").alias("low"), F.max("n").alias("high"))
+    lists = held.groupBy("token").agg(F.count("*").alias("roots")).filter("roots > 1")
+    lists = stored(lists, "lists-between")
+    short, long = lists.filter(F.col("roots") <= LONG_LIST).select("token"), lists.filter(F.col("roots") > LONG_LIST).select("token")
+    few = stored(held.join(short, "token"), "postings-between")
+    a, b = (few.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "classes", "one", "low", "high")]) for s in "ab")
+    fits = (similarity[1] * F.col("high_a") >= similarity[0] * F.col("low_b")) & (similarity[1] * F.col("high_b") >= similarity[0] * F.col("low_a"))
+    met = a.join(b, (a["token"] == b["token"]) & (F.col("root_a") < F.col("root_b")) & fits).drop(b["token"])
+    met = met.drop("low_a", "low_b", "high_a", "high_b")
+    rest = grown.join(short, "token", "left_semi")
     for s in "ab":
         many = met.filter(f"classes_{s} > 1").join(rest.select("token", F.col("root").alias(f"root_{s}"), F.col("class_id").alias(s)), ["token", f"root_{s}"])
         met = met.filter(f"classes_{s} = 1").withColumn(s, F.col(f"one_{s}")).unionByName(many)
     counted = met.groupBy("a", "b").agg(F.count("*").alias("common"))
-    pairs = stored(_candidates(counted, info, similarity), "pairs")
-    links = stored(stars.unionByName(verified(docs, info, pairs, k, similarity)), "all-links")
+    crowded = stored(grown.join(long, "token", "left_semi"), "long-lists")
+    more = crowded.groupBy("class_id").agg(F.count("*").alias("more"))
+    pairs = stored(_candidates(counted, info.join(more, "class_id", "left").fillna(0, ["more"]), similarity), "pairs")
+
+    # Shingles of many components: the classes that share them, by family.
+    families = components(crowded.select(F.col("class_id").alias("a"), F.col("hub").alias("b")))
+    members = crowded.select("class_id", "root").distinct().join(families.select(F.col("node").alias("class_id"), F.col("root").alias("family")), "class_id")
+    members = stored(members, "families")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).unionByName(members.select("class_id"))
+    found = class_sets(docs, info, named, k)
+    between = similar_pairs(found, pairs, similarity).unionByName(family_links(members.join(found, "class_id"), similarity))
+    links = stored(stars.unionByName(between), "all-links")
 
     roots = components(links).withColumnRenamed("node", "class_id")
     named = info.join(roots, "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
