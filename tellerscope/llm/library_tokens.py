@@ -4,124 +4,113 @@ Both vocabularies used here treat the pieces between single blanks or line ends
 own, so each distinct piece is encoded once by the library and then looked up. A piece of
 Latin letters, with or without a full stop or comma behind it, is one word for either
 vocabulary and goes to the library's merge model directly; other pieces take the library's
-whole way. A text in which white space meets white space goes to the library as a whole where
-blanks matter.
+whole way. Where blanks matter, a text in which white space meets white space goes to the
+library as a whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
+from array import array
 
 import numpy as np
 
 IDS = np.dtype("<u2")
 MOST_PIECES = 800_000
-_ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z")
 
 
-class LibraryEncoder:
-    """Texts to bytes of little-endian unsigned 16-bit ids.
+def _bytes(ids: list[int]) -> bytes:
+    return array("H", ids).tobytes() if array("H", [1]).tobytes() == b"\1\0" else np.array(ids, IDS).tobytes()
 
-    ``blanks`` says whether blanks and line ends become part of tokens (byte-level BPE) or
-    are dropped (BPE with word ends).
-    """
 
-    def __init__(self, path: str, blanks: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Pieces(dict):
+    """Pieces to the bytes of their ids, encoded when first asked for.
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        if self.library.get_vocab_size() > 1 << 16:
-            raise ValueError("ids need more than 16 bits")
-        self.blanks = blanks
-        self.mark = "\n" if blanks else "|"
-        mark = self.library.encode(self.mark, add_special_tokens=False).ids
-        self.mark_id = mark[0] if len(mark) == 1 else None
-        self.mark_bytes = np.array(mark, IDS).tobytes()
+    ``lead`` stands before each piece in the text. None marks a piece that begins or ends with
+    white space, or is empty, where that would change how its neighbours are encoded.
+    """
+
+    def __init__(self, library, lead: str, blanks: bool):
+        super().__init__()
+        self.library, self.lead, self.blanks = library, lead, blanks
         # How byte-level vocabularies write bytes: visible ones as themselves, others from U+0100.
         seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in set(seen)]
         self.written = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.stops = {c: self.whole([c])[0] for c in ".,"}
-        # Pieces at the start of a line, and pieces after a blank.
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = self.first if not blanks else {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, IDS).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.lead_written = lead.translate(self.written)
+        self.stops = {c: self.whole(c) for c in ".,"}
 
-    def _word(self, word: str, lead: str) -> bytes:
-        """Ids of one word of letters, by the merge model alone."""
-        written = (lead + word).encode().decode("latin-1").translate(self.written)
-        return np.array([t.id for t in self.library.model.tokenize(written)], IDS).tobytes()
+    def whole(self, text: str) -> bytes:
+        return _bytes(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _simple(self, piece: str, cache: dict[str, bytes], lead: str) -> bytes | None:
+    def _word(self, piece: str) -> bytes | None:
         """Ids of a piece of Latin letters, perhaps with one stop behind it; None for others."""
         stop = piece[-1:] if piece[-1:] in self.stops else ""
         word = piece[:-1] if stop else piece
-        if not word.isalpha() or not (word.isascii() or (max(word) < "\u0250" and unicodedata.is_normalized("NFC", word))):
+        if not word.isalpha():
+            return None
+        if not word.isascii() and not (max(word) < "\u0250" and unicodedata.is_normalized("NFC", word)):
             return None
         if not self.blanks:
             word = word.lower()
             if not word.isalpha():
                 return None
-        found = cache.get(word)
+        found = self.get(word)
         if found is None:
-            found = self._word(word, lead)
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.written)
+            found = _bytes([t.id for t in self.library.model.tokenize(self.lead_written + letters)])
         return found + self.stops[stop] if stop else found
 
-    def _learn(self, cache: dict[str, bytes], pieces, lead: str) -> None:
-        new = [p for p in set(pieces) if p not in cache]
-        simple = {p: self._simple(p, cache, lead) for p in new}
-        cache.update((p, ids) for p, ids in simple.items() if ids is not None)
-        new = [p for p, ids in simple.items() if ids is None]
-        if not new:
-            return
-        plain = [p for p in new if self.mark not in p] if self.mark_id is not None else []
-        odd = new if self.mark_id is None else [p for p in new if self.mark in p]
-        for p, ids in zip(odd, self.whole([lead + p for p in odd])):
-            cache[p] = ids
-        for a in range(0, len(plain), 2000):
-            part = plain[a : a + 2000]
-            between = self.mark if self.blanks else f" {self.mark} "
-            joined = between.join([lead + p for p in part])
-            ids = np.array(self.library.encode(joined, add_special_tokens=False).ids, IDS)
-            ends = np.flatnonzero(ids == self.mark_id)
-            raw = ids.tobytes()
-            starts = [0, *(2 * (ends + 1)).tolist()]
-            stops = [*(2 * ends).tolist(), len(raw)]
-            for p, s, e in zip(part, starts, stops, strict=True):
-                cache[p] = raw[s:e]
+    def __missing__(self, piece: str) -> bytes | None:
+        if self.blanks and (not piece or piece[0].isspace() or piece[-1].isspace()):
+            ids = None
+        else:
+            ids = self._word(piece)
+            if ids is None:
+                ids = self.whole(self.lead + piece)
+        self[piece] = ids
+        return ids
+
+
+class LibraryEncoder:
+    """Texts to bytes of little-endian unsigned 16-bit ids.
+
+    ``blanks`` says whether blanks and line ends become part of tokens (byte-level BPE) or
+    are dropped (BPE with word ends).
+    """
+
+    def __init__(self, path: str, blanks: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        if self.library.get_vocab_size() > 1 << 16:
+            raise ValueError("ids need more than 16 bits")
+        self.blanks = blanks
+        # Pieces at the start of a line, and pieces after a blank.
+        self.first = Pieces(self.library, "", blanks)
+        self.later = Pieces(self.library, " ", blanks) if blanks else self.first
+        self.line_end = self.first.whole("\n")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) * self.blanks > MOST_PIECES:
-            self.first.clear()
-            self.later.clear()
-        return self._encode_with_blanks(texts) if self.blanks else self._encode_dropping(texts)
-
-    def _encode_dropping(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(self.first, [p for pieces in split for p in pieces], "")
-        return [b"".join(map(self.first.__getitem__, pieces)) for pieces in split]
-
-    def _encode_with_blanks(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        odd = [i for i, t in enumerate(texts) if not t or _ODD_SPACE.search(t)]
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
-            out[i] = ids
-        lines = {i: [line.split(" ") for line in t.split("\n")] for i, t in enumerate(texts) if out[i] is None}
-        self._learn(self.first, [line[0] for doc in lines.values() for line in doc], "")
-        self._learn(self.later, [p for doc in lines.values() for line in doc for p in line[1:]], " ")
-        first, later = self.first, self.later
-        for i, doc in lines.items():
-            parts: list[bytes] = []
-            for line in doc:
-                parts.append(first[line[0]])
-                parts += map(later.__getitem__, line[1:])
-                parts.append(self.mark_bytes)
-            parts.pop()
-            out[i] = b"".join(parts)
-        return out
+        for cache in (self.first, self.later):
+            if len(cache) > MOST_PIECES:
+                cache.clear()
+        return [self._with_blanks(t) if self.blanks else self._dropping(t) for t in texts]
+
+    def _dropping(self, text: str) -> bytes:
+        return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def _with_blanks(self, text: str) -> bytes:
+        first, later = self.first, self.later.__getitem__
+        parts: list[bytes] = []
+        for line in text.split("\n"):
+            pieces = line.split(" ")
+            parts.append(first[pieces[0]])
+            del pieces[0]
+            parts += map(later, pieces)
+            parts.append(self.line_end)
+        parts.pop()
+        return self.first.whole(text) if None in parts else b"".join(parts)
