@@ -30,7 +30,6 @@ WAYS = 32
 GAMMA = 2.0
 _ROW = np.dtype([("digest", "V32"), ("winner", "<i8"), ("size", "<i8")])
 _NO_ID = np.iinfo(np.int64).min
-RESULT = "doc_id long, keep_id long, group_size long, kept boolean, text_sha256 string"
 
 
 # --- minimal perfect hash of one shard -------------------------------------------------
@@ -123,9 +122,9 @@ class Shard:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest) of every row; a null text counts as empty."""
+    """(doc_id, text_hash, digest) of every row; a null text counts as empty."""
     sha = F.unhex(F.sha2(text_or_empty(), 256))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), sha.alias("digest"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"), sha.alias("digest"))
 
 
 def catalogue(rows: DataFrame) -> DataFrame:
@@ -183,7 +182,7 @@ def heavy(catalog: DataFrame) -> list[bytes]:
 
 
 def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) -> DataFrame:
-    """``rows`` (doc_id, digest) with winner, size, member and first_copy.
+    """``rows`` (doc_id, text_hash, digest) with winner, size, member and first_copy.
 
     ``first_copy`` is false on all but one of the rows that repeat both digest and id.
     """
@@ -191,14 +190,14 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
     is_hot = F.col("digest").isin([F.lit(h) for h in hot]) if hot else F.lit(False)
     none = lambda kind: F.lit(None).cast(kind)
     way = F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(WAYS)).cast("int")).otherwise(F.lit(0))
-    asks = rows.select(_shard(shards).alias("shard"), way.alias("way"), F.lit(1).alias("kind"), "digest", "doc_id", none("binary").alias("blob"))
+    asks = rows.select(_shard(shards).alias("shard"), way.alias("way"), F.lit(1).alias("kind"), "digest", "doc_id", "text_hash", none("binary").alias("blob"))
     copies = F.array(F.lit(0))
     if hot:
         spark = rows.sparkSession
         named = spark.createDataFrame([(bytearray(h),) for h in hot], "digest binary")
         hot_shards = [r[0] for r in named.select(_shard(shards)).distinct().collect()]
         copies = F.when(F.col("shard").isin(hot_shards), F.sequence(F.lit(0), F.lit(WAYS - 1))).otherwise(copies)
-    tables = index.select("shard", F.explode(copies).alias("way"), F.lit(0).alias("kind"), none("binary").alias("digest"), none("long").alias("doc_id"), "blob")
+    tables = index.select("shard", F.explode(copies).alias("way"), F.lit(0).alias("kind"), none("binary").alias("digest"), none("long").alias("doc_id"), none("long").alias("text_hash"), "blob")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, table, last = None, Shard(shard_blob(np.empty(0, _ROW))), None
@@ -225,6 +224,7 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part["doc_id"],
+                        "text_hash": part["text_hash"],
                         "digest": part["digest"],
                         "winner": pa.array(winner, mask=no_id),
                         "size": pa.array(size, mask=~member),
@@ -234,11 +234,11 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
                 )
 
     met = tables.unionByName(asks).repartition(tasks, "shard", "way").sortWithinPartitions("shard", "way", "kind", "digest", "doc_id")
-    return met.mapInArrow(find, "doc_id long, digest binary, winner long, size long, member boolean, first_copy boolean")
+    return met.mapInArrow(find, "doc_id long, text_hash long, digest binary, winner long, size long, member boolean, first_copy boolean")
 
 
 def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_hash.
 
     Without ``history`` the documents are their own history: all are looked up in the index
     over their distinct digests, and the largest id of equal texts stays. With ``history``
@@ -255,14 +255,14 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
         index, shards = build_index(catalog)
         found = lookup(rows, index, shards, heavy(catalog))
         kept = F.col("doc_id").eqNullSafe(F.col("winner")) & F.col("first_copy")
-        return found.select("doc_id", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+        return found.select("doc_id", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "text_hash")
 
     index, shards = build_index(stored(catalogue(digests(history)), "digest-history"))
     seen = stored(lookup(rows, index, shards, heavy(own)), "digest-lookups")
-    members = seen.filter("member").select("doc_id", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), F.lit(False).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
-    fresh = seen.filter("not member").select("doc_id", "digest")
+    members = seen.filter("member").select("doc_id", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), F.lit(False).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "text_hash")
+    fresh = seen.filter("not member").select("doc_id", "text_hash", "digest")
     new = stored(catalogue(fresh), "digest-new")
     index, shards = build_index(new)
     kept = F.col("doc_id").eqNullSafe(F.col("winner")) & F.col("first_copy")
-    others = lookup(fresh, index, shards, heavy(new)).select("doc_id", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    others = lookup(fresh, index, shards, heavy(new)).select("doc_id", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "text_hash")
     return members.unionByName(others)

@@ -42,7 +42,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
