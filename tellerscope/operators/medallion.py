@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerscope.functions.columns import (
+    BALANCES,
     balance_deltas,
     cast_balances,
     clean_countries,
@@ -145,6 +146,16 @@ TXN_RULES = (
 )
 
 
+# Balances arrive as text. One that is no number becomes NULL in silver; this rule counts it.
+BALANCE_RULES = (
+    *TXN_RULES,
+    Rule(
+        "readable_balances",
+        " AND ".join(f"(`{c}` IS NULL OR try_cast(`{c}` AS DOUBLE) IS NOT NULL)" for c in BALANCES),
+    ),
+)
+
+
 def _holds(rule: Rule) -> Column:
     return F.coalesce(F.expr(rule.condition), F.lit(False))
 

@@ -303,7 +303,9 @@ WHERE alpha3_code LIKE 'N1%'""",
   UNION ALL SELECT 'correct_customer_id', 'keep', count(*) FILTER (customer_id IS NULL), count(*)
   FROM ({DOUBTFUL})
   UNION ALL SELECT 'correct_amount', 'drop',
-    count(*) FILTER (amount IS NULL OR amount <= 0), count(*) FROM ({DOUBTFUL}))""",
+    count(*) FILTER (amount IS NULL OR amount <= 0), count(*) FROM ({DOUBTFUL})
+  UNION ALL SELECT 'readable_balances', 'keep', count(*) FILTER (step = 500), count(*)
+  FROM ({DOUBTFUL}))""",
     "expectations_clean": f"SELECT id, customer_id, amount FROM ({DOUBTFUL}) WHERE amount > 0",
     "feature_projection": """SELECT id, CAST(amount AS FLOAT) AS amount,
   CAST(newBalanceDest AS FLOAT) AS newBalanceDest, CAST(oldBalanceDest AS FLOAT) AS oldBalanceDest,

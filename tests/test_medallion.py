@@ -144,3 +144,14 @@ def test_pipeline_reruns(spark, folder, dims):
 
 def test_gold_is_part_of_silver(bank):
     assert bank.gold.select("id").join(bank.silver, "id", "left_anti").isEmpty()
+
+
+def test_unreadable_balances_are_counted(spark):
+    rows = spark.createDataFrame(
+        [("1", "5", "c", "1.5", "abc", None, "2"), ("2", "5", "c", "1", "2", "3", "4")],
+        "id string, amount string, customer_id string, newBalanceOrig string, oldBalanceOrig string, "
+        "newBalanceDest string, oldBalanceDest string",
+    )
+    clean, metrics = medallion.apply_expectations(rows, medallion.BALANCE_RULES)
+    counts = {r.rule: r.violations for r in metrics.collect()}
+    assert clean.count() == 2 and counts["readable_balances"] == 1 and counts["correct_amount"] == 0
