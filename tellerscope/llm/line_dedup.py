@@ -1,7 +1,8 @@
 """Substring dedup by line or paragraph hashing.
 
-Every unit of at least ``min_words`` words is normalised (lower case, single blanks) and
-hashed to 128 bits. Digests are grouped over all documents, and the occurrence that ranks
+A unit is a paragraph, a line, or a sentence of a line; sentences find passages that were put
+inside a line, which whole lines miss. Every unit of at least ``min_words`` words is
+normalised (lower case, single blanks) and hashed to 128 bits. Digests are grouped over all documents, and the occurrence that ranks
 first, by document id and offset, stays; all others are cut out. The spans that went are
 reported by their offsets in the original text.
 
@@ -12,6 +13,7 @@ shuffle, and units of very frequent digests are dealt over several tasks.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,31 +22,32 @@ from pyspark.sql import functions as F
 
 from tellerscope.llm.common import spread_join, stored
 
-SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
-MIN_WORDS = 10
+# Where units end, for Python and Java alike: a unit keeps the separator behind it.
+ENDS = {"paragraph": r"(?<=\n\n)", "line": r"(?<=\n)", "sentence": r"(?<=\n)|(?<=[.!?] )"}
+MIN_WORDS = 8
 HOT_SHARE = 1000
 WAYS = 32
 
 
-def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, number, start, stop, digest) of each unit that counts.
 
-    ``start`` and ``stop`` are character offsets of the unit without its separator.
+    ``start`` and ``stop`` are character offsets of the unit with its separator.
     """
-    separator = SEPARATORS[unit]
+    ends = re.compile(ENDS[unit])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, text_hash, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_hash", "text"))):
                 start = 0
-                for number, part in enumerate(text.split(separator)):
+                for number, part in enumerate(ends.split(text)):
                     stop = start + len(part)
                     words = part.lower().split()
                     if len(words) >= min_words:
                         digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
                         rows.append((doc, text_hash, number, start, stop, digest))
-                    start = stop + len(separator)
+                    start = stop
             columns = list(zip(*rows)) or [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text_hash", "number", "start", "stop", "digest"])
@@ -64,10 +67,11 @@ def repeats(found: DataFrame) -> DataFrame:
     return joined.filter(~place.eqNullSafe(F.col("first"))).drop("first")
 
 
-def line_dedup(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def line_dedup(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` cut, and ``removed``: array of (start, stop) in the original text.
 
-    A cut unit goes with one separator. A document that loses all its units keeps an empty
+    A cut unit goes with the separator behind it, so what follows a cut end of line moves up to
+    the text before. A document that loses all its units keeps an empty
     text. A null text stays null. Of equal units in one document the first stays, if no
     document before holds it. A null id ranks before all ids; rows that repeat both id and
     text are one document, cut alike. An empty table gives no rows. All columns of ``docs``
@@ -79,9 +83,8 @@ def line_dedup(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS)
     rows = docs.drop("removed").withColumn("__text_hash", F.xxhash64("text"))
     same = rows["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (rows["__text_hash"] == spans["__hash"])
     joined = rows.join(spans, same, "left")
-    separator = SEPARATORS[unit]
     numbers = F.transform("__cut", lambda c: c["number"])
-    left = F.array_join(F.filter(F.split("text", separator), lambda _, i: ~F.array_contains(numbers, i)), separator)
+    left = F.array_join(F.filter(F.split("text", ENDS[unit]), lambda _, i: ~F.array_contains(numbers, i)), "")
     cut = F.coalesce(F.transform("__cut", lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop"))), F.array().cast("array<struct<start:bigint,stop:bigint>>"))
     columns = {"text": F.when(F.col("__cut").isNull(), F.col("text")).otherwise(left), "removed": cut}
     return joined.withColumns(columns).drop("__cut", "__id", "__hash", "__text_hash")

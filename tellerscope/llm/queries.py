@@ -95,18 +95,20 @@ FROM d JOIN g USING (text_sha256)
 """
 
 OP5_SQL = """
-WITH lines AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+WITH ends AS (
+  SELECT doc_id, regexp_replace(text, '([.!?] |\n)', '\\1' || chr(1), 'g') AS marked FROM documents
+), lines AS (
+  SELECT doc_id, string_split(marked, chr(1)) AS parts FROM ends
 ), u AS (
   SELECT doc_id, i, parts[i] AS line, trim(regexp_replace(lower(parts[i]), '\\s+', ' ', 'g')) AS norm,
-    CAST(coalesce(list_sum([length(x) + 1 FOR x IN parts[1:i - 1]]), 0) AS BIGINT) AS start
+    CAST(coalesce(list_sum([length(x) FOR x IN parts[1:i - 1]]), 0) AS BIGINT) AS start
   FROM lines, unnest(range(1, len(parts) + 1)) AS t(i)
 ), r AS (
-  SELECT *, len(string_split(norm, ' ')) >= 10
+  SELECT *, len(string_split(norm, ' ')) >= 8
     AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS cut
   FROM u
 )
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '') AS text,
+SELECT doc_id, coalesce(string_agg(line, '' ORDER BY i) FILTER (NOT cut), '') AS text,
   count(*) FILTER (cut) AS n_removed,
   coalesce(string_agg(start || '-' || (start + length(line)), ' ' ORDER BY i) FILTER (cut), '') AS removed_spans
 FROM r GROUP BY doc_id

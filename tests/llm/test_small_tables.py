@@ -66,7 +66,7 @@ def test_ngram_join_defined_results(spark):
 def test_line_dedup_defined_results(spark):
     rows = {r.doc_id: (r.text, [tuple(x) for x in r.removed]) for r in line_dedup(frame(spark, ROWS)).collect() if r.doc_id in (1, 2, 7, 9, 10)}
     assert rows[1] == (None, []) and rows[2] == ("", [])
-    assert rows[9][1] == [] and rows[10] == ("y", [(0, 57)])
+    assert rows[9][1] == [] and rows[10] == ("y", [(0, 58)])
     assert rows[7] == ("", [(0, len(LONG))])
 
 
