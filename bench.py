@@ -45,6 +45,8 @@ HEADLINE = (
     "merge_insert_only",
     "gold_impact",
     "evaluate",
+    "train_rf",
+    "score_batch",
     "stream_metrics",
 )
 
