@@ -11,6 +11,7 @@ library as a whole.
 from __future__ import annotations
 
 import os
+import sys
 import unicodedata
 from array import array
 
@@ -21,7 +22,10 @@ MOST_PIECES = 800_000
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return array("H", ids).tobytes() if array("H", [1]).tobytes() == b"\1\0" else np.array(ids, IDS).tobytes()
+    raw = array("H", ids)
+    if sys.byteorder == "big":
+        raw.byteswap()
+    return raw.tobytes()
 
 
 class Pieces(dict):
@@ -46,12 +50,14 @@ class Pieces(dict):
 
     def _word(self, piece: str) -> bytes | None:
         """Ids of a piece of Latin letters, perhaps with one stop behind it; None for others."""
-        stop = piece[-1:] if piece[-1:] in self.stops else ""
-        word = piece[:-1] if stop else piece
-        if not word.isalpha():
-            return None
-        if not word.isascii() and not (max(word) < "\u0250" and unicodedata.is_normalized("NFC", word)):
-            return None
+        word, stop = piece, b""
+        if not piece.isalpha():
+            word, stop = piece[:-1], self.stops.get(piece[-1:])
+            if stop is None or not word.isalpha():
+                return None
+        if not word.isascii():
+            if max(word) >= "\u0250" or not unicodedata.is_normalized("NFC", word):
+                return None
         if not self.blanks:
             word = word.lower()
             if not word.isalpha():
@@ -60,7 +66,8 @@ class Pieces(dict):
         if found is None:
             letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.written)
             found = _bytes([t.id for t in self.library.model.tokenize(self.lead_written + letters)])
-        return found + self.stops[stop] if stop else found
+            self[word] = found
+        return found + stop if stop else found
 
     def __missing__(self, piece: str) -> bytes | None:
         if self.blanks and (not piece or piece[0].isspace() or piece[-1].isspace()):

@@ -172,7 +172,7 @@ def test_exact_dedup_with_history(spark):
 
 
 def test_library_pieces():
-    odd = ["", "a  b", " lead", "x\n\ny", "a \n b", "|", "a|b | c", "<|endoftext|> hi", "é ΑΣ Σ", "a\x1cb", "İ Ǆ", *noise(2000, " \n\t|'slredvé1Aa.,<Σ")]
+    odd = ["", "a  b", " lead", "x\n\ny", "a \n b", "|", "a|b | c", "<|endoftext|> hi", "é ΑΣ Σ", "a\x1cb", "İ Ǆ", "İ. x. Ю. ᾳ, e\u0301.", *noise(2000, " \n\t|'slredvé1Aa.,<Σ")]
     for name, blanks in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         path = public_tokenizers.path(name)
         library = Tokenizer.from_file(path)
