@@ -6,6 +6,9 @@ normalised (lower case, single blanks) and hashed to 128 bits. Digests are group
 first, by document id and offset, stays; all others are cut out. The spans that went are
 reported by their offsets in the original text.
 
+The unit ``run`` compares paragraphs, lines and sentences at once, and also runs of adjacent
+sentences: a sentence of few words goes where it stands in a run that repeats as a whole.
+
 Only ids, offsets and digests are shuffled before the decision; grouping combines before the
 shuffle, and units of very frequent digests are dealt over several tasks.
 """
@@ -13,26 +16,74 @@ shuffle, and units of very frequent digests are dealt over several tasks.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerscope.llm.common import spread_join, stored
 
 # Where units end, for Python and Java alike: a unit keeps the separator behind it.
 ENDS = {"paragraph": r"(?<=\n\n)", "line": r"(?<=\n)", "sentence": r"(?<=\n)|(?<=[.!?] )"}
+ENDS["run"] = ENDS["sentence"]
 MIN_WORDS = 8
 HOT_SHARE = 1000
 WAYS = 32
 
 
+def runs(sizes: list[int], blocks: list[int], min_words: int) -> set[tuple[int, int]]:
+    """(first, last) number of the runs of sentences that count; none begins or ends without words.
+
+    ``sizes`` are the words of each sentence, ``blocks`` the numbers where lines and paragraphs
+    begin and end. For each sentence there are the shortest runs of at least ``min_words`` words
+    that begin and that end with it: any repeated run of so many words is the union of such runs.
+    """
+    full = [i for i, n in enumerate(sizes) if n]
+    sums = [0, *itertools.accumulate(sizes[i] for i in full)]
+    out, a, b = set(), 0, len(full) - 1
+    for last in range(len(full)):
+        while sums[last + 1] - sums[a + 1] >= min_words:
+            a += 1
+        if sums[last + 1] - sums[a] >= min_words:
+            out.add((full[a], full[last]))
+    for first in reversed(range(len(full))):
+        while sums[b] - sums[first] >= min_words:
+            b -= 1
+        if sums[b + 1] - sums[first] >= min_words:
+            out.add((full[first], full[b]))
+    for begin, end in zip(blocks, blocks[1:]):
+        x, y = bisect_left(full, begin), bisect_left(full, end)
+        if x < y and sums[y] - sums[x] >= min_words:
+            out.add((full[x], full[y - 1]))
+    return out
+
+
+def runs_of(parts: list[str], words: list[list[str]], min_words: int) -> list[tuple[int, int]]:
+    """All runs of one text: sentences, runs of short ones, lines and paragraphs."""
+    lines = [0, *(i + 1 for i, part in enumerate(parts) if part.endswith("\n"))]
+    paragraphs = [0, *(i for i in lines[1:] if parts[i - 1] == "\n" or parts[i - 1].endswith("\n\n"))]
+    sizes, out = [len(w) for w in words], set()
+    for blocks in (lines, paragraphs):
+        out |= runs(sizes, sorted({*blocks, len(parts)}), min_words)
+
+    def closed(last: int) -> int:
+        """A run takes along what follows without words in its line."""
+        while last + 1 < len(parts) and not sizes[last + 1] and not parts[last].endswith("\n"):
+            last += 1
+        return last
+
+    return sorted((first, closed(last)) for first, last in out)
+
+
 def units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, number, start, stop, digest) of each unit that counts.
+    """(doc_id, text_hash, number, last, start, stop, digest) of each unit that counts.
 
-    ``start`` and ``stop`` are character offsets of the unit with its separator.
+    ``start`` and ``stop`` are character offsets of the unit with its separator. A unit is the
+    parts ``number`` to ``last`` of the text; only runs have more than one.
     """
     ends = re.compile(ENDS[unit])
 
@@ -40,31 +91,47 @@ def units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -
         for batch in batches:
             rows = []
             for doc, text_hash, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_hash", "text"))):
-                start = 0
-                for number, part in enumerate(ends.split(text)):
-                    stop = start + len(part)
-                    words = part.lower().split()
-                    if len(words) >= min_words:
-                        digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                        rows.append((doc, text_hash, number, start, stop, digest))
-                    start = stop
-            columns = list(zip(*rows)) or [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text_hash", "number", "start", "stop", "digest"])
+                parts = ends.split(text)
+                words = [part.lower().split() for part in parts]
+                starts = [0, *itertools.accumulate(map(len, parts))]
+                if unit == "run":
+                    spans = runs_of(parts, words, min_words)
+                else:
+                    spans = [(i, i) for i, w in enumerate(words) if len(w) >= min_words]
+                for number, last in spans:
+                    plain = " ".join(words[number]) if number == last else " ".join(w for part in words[number : last + 1] for w in part)
+                    digest = hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    rows.append((doc, text_hash, number, last, starts[number], starts[last + 1], digest))
+            columns = list(zip(*rows)) or [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text_hash", "number", "last", "start", "stop", "digest"])
 
     rows = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(split, "doc_id long, text_hash long, number int, start long, stop long, digest binary")
+    return rows.mapInArrow(split, "doc_id long, text_hash long, number int, last int, start long, stop long, digest binary")
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """The units that go: all but the first occurrence of each digest."""
-    place = F.struct("doc_id", "text_hash", "start")
+    """The units that go: all but the first occurrence of each digest, and what overlaps it."""
+    place = F.struct("doc_id", "text_hash", "start", "stop")
     groups = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("size"))
     groups = stored(groups.filter(F.col("size") > 1), "repeated-units")
     total = groups.agg(F.sum("size")).first()[0] or 0
     hot = [bytes(r[0]) for r in groups.filter(F.col("size") > max(WAYS, total // HOT_SHARE)).select("digest").collect()]
     joined = spread_join(found, groups.select("digest", "first"), "digest", hot, WAYS, ["doc_id", "start"])
-    return joined.filter(~place.eqNullSafe(F.col("first"))).drop("first")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return joined.filter(~(same & (F.col("start") < F.col("first.stop")))).drop("first")
+
+
+def merged(spans: Column) -> Column:
+    """Sorted (start, stop) spans, those that touch or overlap made one."""
+
+    def add(done: Column, c: Column) -> Column:
+        before = F.element_at(done, -1)
+        wider = F.struct(before["start"].alias("start"), F.greatest(before["stop"], c["stop"]).alias("stop"))
+        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] >= c["start"])
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(c)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"), add)
 
 
 def line_dedup(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
@@ -75,16 +142,21 @@ def line_dedup(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WOR
     text. A null text stays null. Of equal units in one document the first stays, if no
     document before holds it. A null id ranks before all ids; rows that repeat both id and
     text are one document, cut alike. An empty table gives no rows. All columns of ``docs``
-    are kept (one called ``removed`` is replaced).
+    are kept (one called ``removed`` is replaced). With unit ``run``, a sentence goes if any run,
+    line or paragraph that holds it goes; spans that touch are reported as one, and an
+    occurrence that overlaps the first one of its own text stays.
     """
     found = stored(units(docs, unit, min_words), "units")
-    spans = repeats(found).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "number"))).alias("__cut"))
+    spans = repeats(found).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "number", "last"))).alias("__cut"))
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__cut")
     rows = docs.drop("removed").withColumn("__text_hash", F.xxhash64("text"))
     same = rows["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (rows["__text_hash"] == spans["__hash"])
     joined = rows.join(spans, same, "left")
     numbers = F.transform("__cut", lambda c: c["number"])
+    if unit == "run":
+        numbers = F.array_distinct(F.flatten(F.transform("__cut", lambda c: F.sequence(c["number"], c["last"]))))
     left = F.array_join(F.filter(F.split("text", ENDS[unit]), lambda _, i: ~F.array_contains(numbers, i)), "")
-    cut = F.coalesce(F.transform("__cut", lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop"))), F.array().cast("array<struct<start:bigint,stop:bigint>>"))
+    spans = F.transform("__cut", lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop")))
+    cut = F.coalesce(merged(spans) if unit == "run" else spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"))
     columns = {"text": F.when(F.col("__cut").isNull(), F.col("text")).otherwise(left), "removed": cut}
     return joined.withColumns(columns).drop("__cut", "__id", "__hash", "__text_hash")

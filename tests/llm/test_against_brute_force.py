@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -11,6 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from conftest import SF
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tellerscope.llm import exact_dedup as exact_module
@@ -19,6 +21,7 @@ from tellerscope.llm.byte_bpe import Encoder
 from tellerscope.llm.components import components
 from tellerscope.llm.exact_dedup import PerfectHash, Shard, exact_dedup, shard_blob
 from tellerscope.llm.library_tokens import LibraryEncoder
+from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.packing import combinations, least_squares, plan
 from tellerscope.llm.tool_calls import link_tool_calls
 from tellerscope.llm.warc import LoserTree
@@ -329,3 +332,28 @@ def test_order_and_schema_of_calls(spark):
     assert {k[1]: r.errors for k, r in found.items() if k[0] == 1} == {"a": "", "b": "x is no number", "c": "arguments are no object", "d": "unknown z", "e": "unknown tool"}
     assert found[(2, "zz")].status == "orphan" and found[(2, "b")].errors == "arguments are no object"
     assert found[(1, "a")].json == '{"arguments":{"x":1.5,"y":2},"call_id":"a","content":"3.5","conv_id":1,"errors":[],"level":2,"name":"add","status":"answered","turn":5}'
+
+
+def test_runs_of_short_sentences_go(spark):
+    """A passage of over 50 words in sentences of 4, at other places of other lines; short lines; overlaps."""
+    passage = "".join(f"Kemo{i} lat{i} sor{i} vim{i}. " for i in range(14))
+    line = "Dorea nem tal osk. Ilva ret sum ped nar.\n"
+    docs = [(1, f"One host line before it. {passage}And more words.\n" + line), (2, f"Other words. Before.\n\n{passage}Not the same end here.\n"), (3, "Its own.\n" + line + "Dorea nem tal osk. Alone.\n"), (4, "Ha ho. " * 12)]
+    found = {r.doc_id: (r.text, [tuple(x) for x in r.removed]) for r in line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), "run").collect()}
+    assert found[1] == (docs[0][1], [])
+    start = len("Other words. Before.\n\n")
+    assert found[2] == ("Other words. Before.\n\nNot the same end here.\n", [(start, start + len(passage))])
+    assert found[3] == ("Its own.\nDorea nem tal osk. Alone.\n", [(9, 9 + len(line))])
+    assert found[4] == ("Ha ho. " * 4, [(28, 84)])
+
+
+def test_runs_leave_no_line(spark, docs):
+    """On real rows, no line of eight words stays twice in what was not cut."""
+    seen = collections.Counter()
+    for r in line_dedup(docs.withColumn("text_before", F.col("text")), "run").collect():
+        gone = {i for a, b in r.removed for i in range(a, b)}
+        place = 0
+        for line in re.split(r"(?<=\n)", r.text_before or ""):
+            seen[" ".join(line.lower().split())] += not gone.issuperset(range(place, place + len(line))) and len(line.split()) >= 8
+            place += len(line)
+    assert max(seen.values()) == 1
