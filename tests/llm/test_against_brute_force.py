@@ -20,6 +20,7 @@ from tellerscope.llm import maxscore, ngram_join, queries
 from tellerscope.llm.byte_bpe import Encoder
 from tellerscope.llm.components import components
 from tellerscope.llm.exact_dedup import PerfectHash, Shard, exact_dedup, shard_blob
+from tellerscope.llm.language_id import LEAST_SCORE, fit, held_out, identify, with_language
 from tellerscope.llm.library_tokens import LibraryEncoder
 from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.packing import combinations, least_squares, plan
@@ -296,6 +297,20 @@ def test_language_of_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_unlearned_languages_are_rejected(spark):
+    """Texts of other scripts, junk with one letter, and rows of a language that was left out."""
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = fit(known)
+    odd = ["кошка сидела на ковре и смотрела в окно, потому что шел дождь", "这是一个中文句子没有学过的语言", "1234 5678 a 0000 ----"]
+    rows = spark.createDataFrame([(i, t, None) for i, t in enumerate(odd)], known.schema)
+    assert with_language(rows, model).count() == 0
+    assert all(r.score < LEAST_SCORE for r in identify(rows, model).collect())
+    clean = known.filter(held_out() & F.col("text").rlike("[A-Za-z]"))
+    assert with_language(clean, model).count() == clean.count() > 100
+    left_out, english = fit(known.filter("lang <> 'en'")), known.filter("lang = 'en'")
+    assert with_language(english, left_out).count() < 0.9 * english.count()
+
+
 def test_top_k_prunes_without_loss(monkeypatch):
     monkeypatch.setattr(maxscore, "BLOCK", 32)
     r = np.random.default_rng(2)
