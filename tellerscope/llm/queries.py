@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerscope.llm import byte_bpe
+from tellerscope.llm.best_position import lexical_search
 from tellerscope.llm.common import table
 from tellerscope.llm.exact_dedup import exact_dedup
 from tellerscope.llm.language_id import identify
 from tellerscope.llm.line_dedup import line_dedup
 from tellerscope.llm.maxscore import top_k
+from tellerscope.llm.minhash import near_dedup
 from tellerscope.llm.ngram_join import ngram_join
 from tellerscope.llm.packing import pack
+from tellerscope.llm.periodic_runs import longest, periodic_runs, with_planted_repeats
 from tellerscope.llm.tool_calls import TURN_SCHEMAS, calls_of_turns, link_tool_calls
 from tellerscope.llm.warc import warc_index
 from tellerscope.llm.wavelet import token_files
@@ -75,6 +78,30 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), k=4, similarity=(80, 100)).drop("text_hash")
+
+
 OP2_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -154,6 +181,34 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP12_SQL = """
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), lengths AS (
+  SELECT doc_id, count(*) AS n FROM words GROUP BY 1
+), totals AS (
+  SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS total FROM lengths
+), held AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY 1
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // total)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -167,8 +222,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_tool_calls": op9_tool_calls,
         "op10_exact_top_k": op10_exact_top_k,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_best_position": op12_best_position,
+        "op13_minhash": op13_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op9_tool_calls": OP9_SQL, "op10_exact_top_k": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op9_tool_calls": OP9_SQL, "op10_exact_top_k": OP10_SQL, "op12_best_position": OP12_SQL}
