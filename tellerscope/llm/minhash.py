@@ -63,7 +63,7 @@ def _probes() -> np.ndarray:
 def signature(found: np.ndarray, deal: int = 0) -> np.ndarray:
     """Least hash of each bin of a set of distinct hashes; ``deal`` names the hash function."""
     bins = BANDS * ROWS
-    values = np.sort(_mix(found + np.uint64(deal + 1) * _B))
+    values = np.sort(_mix(found + np.uint64((deal + 1) * int(_B) % (1 << 64))))
     of = ((values >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))  # values are sorted, so bins are
     out = np.zeros(bins, np.uint64)
