@@ -3,38 +3,82 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tellerscope.session import work_dir
 
 
 _KEPT: dict[Hashable, object] = {}
+MOST_KEPT = 2
 
 
 def kept(key: Hashable, make: Callable[[], object]):
-    """What ``make`` gives, once per Python worker: a worker serves many tasks."""
-    if key not in _KEPT:
+    """What ``make`` gives, once per Python worker: a worker serves many tasks.
+
+    A worker outlives a job, so only the last ``MOST_KEPT`` things stay.
+    """
+    if key in _KEPT:
+        _KEPT[key] = _KEPT.pop(key)  # now the newest
+    else:
+        while len(_KEPT) >= MOST_KEPT:
+            del _KEPT[next(iter(_KEPT))]
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+#: Bytes of a batch that goes to a Python worker; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+
+
 def importable(spark: SparkSession) -> None:
-    """Lets the workers import this package from the place where the driver found it."""
+    """Lets the workers import this package from the place where the driver found it.
+
+    Also bounds the batches they get, as a task holds a batch, what it makes of it, and the
+    copies of both in transit.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Gathers the folders that ``stored`` makes meanwhile."""
+    made: list[str] = []
+    _SCRATCH.append(made)
+    try:
+        yield made
+    finally:
+        _SCRATCH.remove(made)
+
+
+def discard(spark: SparkSession, folders: list[str], needed_by: DataFrame) -> None:
+    """Deletes the work ``folders`` that ``needed_by`` does not read, and takes them off the list."""
+    read = " ".join({f.rsplit("/", 1)[0] for f in needed_by.inputFiles()})
+    for path in [p for p in folders if p.rsplit("/", 1)[-1] not in read]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        folders.remove(path)
+
+
 def stored(df: DataFrame, purpose: str, partitions: str | None = None) -> DataFrame:
     """``df`` written to the shared work folder and read again.
 
     Cuts the lineage: what is behind it runs once, and a lost executor costs a re-read.
     """
     path = work_dir(df.sparkSession, purpose)
+    for made in _SCRATCH[-1:]:
+        made.append(path)
     writer = df.write.option("compression", "zstd")
     if partitions:
         writer = writer.partitionBy(partitions)
@@ -76,7 +120,7 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """``fn`` over the Arrow batches of ``df``, one by one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,8 +7,9 @@ is the key's slot, and the slots hold the whole digest, the winner's id and the
 size. A lookup compares all 32 bytes, so a text that is not in the history can't be taken
 for one that is. Such rows are grouped by their digest among themselves.
 
-Rows meet their shard in a shuffle by shard; the index row is sorted before the rows that
-ask, so a task holds one shard and streams the rest. Digests that own over a thousandth of
+Rows meet their shard in a shuffle by shard, as many shards to a task as the cluster's number
+of shuffle partitions makes it; the index row is sorted before the rows that ask, so a task
+holds one shard at a time and streams the rest. Digests that own over a thousandth of
 all rows are dealt over ``WAYS`` tasks, with a copy of their shard in each.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tellerscope.llm.common import stored, text_or_empty
 
-KEYS_PER_SHARD = 256
+KEYS_PER_SHARD = 16_384
 HOT_SHARE = 1000
 WAYS = 32
 GAMMA = 2.0
@@ -170,7 +171,7 @@ def build_index(catalog: DataFrame, purpose: str = "digest-index") -> tuple[Data
             yield blob(now, parts)
 
     keyed = catalog.select(_shard(shards).alias("shard"), "digest", "winner", "size")
-    dealt = keyed.repartition(shards, "shard").sortWithinPartitions("shard")
+    dealt = keyed.repartition("shard").sortWithinPartitions("shard")
     return stored(dealt.mapInArrow(build, "shard int, blob binary"), purpose), shards
 
 
@@ -186,7 +187,6 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
 
     ``first_copy`` is false on all but one of the rows that repeat both digest and id.
     """
-    tasks = max(shards, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     is_hot = F.col("digest").isin([F.lit(h) for h in hot]) if hot else F.lit(False)
     none = lambda kind: F.lit(None).cast(kind)
     way = F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(WAYS)).cast("int")).otherwise(F.lit(0))
@@ -233,7 +233,7 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
                     }
                 )
 
-    met = tables.unionByName(asks).repartition(tasks, "shard", "way").sortWithinPartitions("shard", "way", "kind", "digest", "doc_id")
+    met = tables.unionByName(asks).repartition("shard", "way").sortWithinPartitions("shard", "way", "kind", "digest", "doc_id")
     return met.mapInArrow(find, "doc_id long, text_hash long, digest binary, winner long, size long, member boolean, first_copy boolean")
 
 

@@ -210,11 +210,11 @@ def with_language(docs: DataFrame, model: Model | None = None, least_score: floa
 
     Rejected are texts that are null or hold no letter, those for which a machine of family or
     language is near a coin toss, and those with few letters of the language chosen, as in a
-    script that was not learned. If nothing was learned, all rows stay.
+    script that was not learned. If nothing was learned, all texts with a letter stay.
     """
     model = model or fit(docs)
     if not model.languages:
-        return docs
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
 
     def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [_predict(model, text) for text in batch["text"].to_pylist()]

@@ -1,7 +1,8 @@
 """Token ids by the tokenizers library, with a cache of the pieces between blanks.
 
 Both vocabularies used here treat the pieces between single blanks or line ends on their
-own, so each distinct piece is encoded once by the library and then looked up. A piece of
+own, so each distinct piece is encoded once by the library and then looked up. A text that
+holds the name of an added token, such as an end mark, goes to the library as a whole. A piece of
 Latin letters, with or without a full stop or comma behind it, is one word for either
 vocabulary and goes to the library's merge model directly; other pieces take the library's
 whole way. Where blanks matter, a text in which white space meets white space goes to the
@@ -18,7 +19,9 @@ from array import array
 import numpy as np
 
 IDS = np.dtype("<u2")
-MOST_PIECES = 800_000
+#: Bytes of pieces that a worker keeps; each takes some 130 bytes besides its own.
+MOST_BYTES = 48 << 20
+PIECE_BYTES = 130
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -37,7 +40,7 @@ class Pieces(dict):
 
     def __init__(self, library, lead: str, blanks: bool):
         super().__init__()
-        self.library, self.lead, self.blanks = library, lead, blanks
+        self.library, self.lead, self.blanks, self.bytes = library, lead, blanks, 0
         # How byte-level vocabularies write bytes: visible ones as themselves, others from U+0100.
         seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in set(seen)]
@@ -67,6 +70,7 @@ class Pieces(dict):
             letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.written)
             found = _bytes([t.id for t in self.library.model.tokenize(self.lead_written + letters)])
             self[word] = found
+            self.bytes += PIECE_BYTES + len(word) + len(found)
         return found + stop if stop else found
 
     def __missing__(self, piece: str) -> bytes | None:
@@ -77,14 +81,19 @@ class Pieces(dict):
             if ids is None:
                 ids = self.whole(self.lead + piece)
         self[piece] = ids
+        self.bytes += PIECE_BYTES + len(piece) + len(ids or b"")
         return ids
 
+    def clear(self) -> None:
+        super().clear()
+        self.bytes = 0
+
 
 class LibraryEncoder:
     """Texts to bytes of little-endian unsigned 16-bit ids.
 
     ``blanks`` says whether blanks and line ends become part of tokens (byte-level BPE) or
-    are dropped (BPE with word ends).
+    are dropped (BPE with word ends). Vocabularies of over 65,536 ids raise a ValueError.
     """
 
     def __init__(self, path: str, blanks: bool):
@@ -92,10 +101,10 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self.blanks = blanks
+        self.names = [t.content for t in self.library.get_added_tokens_decoder().values()]
         # Pieces at the start of a line, and pieces after a blank.
         self.first = Pieces(self.library, "", blanks)
         self.later = Pieces(self.library, " ", blanks) if blanks else self.first
@@ -103,9 +112,14 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         for cache in (self.first, self.later):
-            if len(cache) > MOST_PIECES:
+            if cache.bytes > MOST_BYTES:
                 cache.clear()
-        return [self._with_blanks(t) if self.blanks else self._dropping(t) for t in texts]
+        return [self._one(t) for t in texts]
+
+    def _one(self, text: str) -> bytes:
+        if any(name in text for name in self.names):
+            return self.first.whole(text)
+        return self._with_blanks(text) if self.blanks else self._dropping(text)
 
     def _dropping(self, text: str) -> bytes:
         return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))

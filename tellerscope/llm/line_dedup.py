@@ -6,8 +6,9 @@ normalised (lower case, single blanks) and hashed to 128 bits. Digests are group
 first, by document id and offset, stays; all others are cut out. The spans that went are
 reported by their offsets in the original text.
 
-The unit ``run`` compares paragraphs, lines and sentences at once, and also runs of adjacent
-sentences: a sentence of few words goes where it stands in a run that repeats as a whole.
+The unit ``run``, as query and pipeline use it, compares paragraphs, lines and sentences at
+once, and also runs of adjacent sentences: a sentence of few words goes where it stands in a run
+that repeats as a whole.
 
 Only ids, offsets and digests are shuffled before the decision; grouping combines before the
 shuffle, and units of very frequent digests are dealt over several tasks.
@@ -22,10 +23,11 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tellerscope.llm.common import spread_join, stored
+from tellerscope.llm.common import map_rows, spread_join, stored
 
 # Where units end, for Python and Java alike: a unit keeps the separator behind it.
 ENDS = {"paragraph": r"(?<=\n\n)", "line": r"(?<=\n)", "sentence": r"(?<=\n)|(?<=[.!?] )"}
@@ -79,7 +81,7 @@ def runs_of(parts: list[str], words: list[list[str]], min_words: int) -> list[tu
     return sorted((first, closed(last)) for first, last in out)
 
 
-def units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+def units(docs: DataFrame, unit: str = "run", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, number, last, start, stop, digest) of each unit that counts.
 
     ``start`` and ``stop`` are character offsets of the unit with its separator. A unit is the
@@ -122,41 +124,53 @@ def repeats(found: DataFrame) -> DataFrame:
     return joined.filter(~(same & (F.col("start") < F.col("first.stop")))).drop("first")
 
 
-def merged(spans: Column) -> Column:
-    """Sorted (start, stop) spans, those that touch or overlap made one."""
+def without_spans(text: str, spans: list[tuple[int, int]], joined: bool) -> tuple[str, list[tuple[int, int]]]:
+    """(text without the sorted ``spans``, the spans); with ``joined``, those that touch are one."""
+    left, out, at = [], [], 0
+    for start, stop in spans:
+        left.append(text[at:start])
+        at = max(at, stop)
+        if joined and out and out[-1][1] >= start:
+            out[-1] = (out[-1][0], max(out[-1][1], stop))
+        else:
+            out.append((start, stop))
+    left.append(text[at:])
+    return "".join(left), out
 
-    def add(done: Column, c: Column) -> Column:
-        before = F.element_at(done, -1)
-        wider = F.struct(before["start"].alias("start"), F.greatest(before["stop"], c["stop"]).alias("stop"))
-        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] >= c["start"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(c)))
 
-    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"), add)
-
-
-def line_dedup(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``text`` cut, and ``removed``: array of (start, stop) in the original text.
+def line_dedup(docs: DataFrame, unit: str = "run", min_words: int = MIN_WORDS, removed: str = "removed") -> DataFrame:
+    """``docs`` with ``text`` cut, and the column ``removed``: array of (start, stop) in the original text.
 
     A cut unit goes with the separator behind it, so what follows a cut end of line moves up to
     the text before. A document that loses all its units keeps an empty
     text. A null text stays null. Of equal units in one document the first stays, if no
     document before holds it. A null id ranks before all ids; rows that repeat both id and
     text are one document, cut alike. An empty table gives no rows. All columns of ``docs``
-    are kept (one called ``removed`` is replaced). With unit ``run``, a sentence goes if any run,
+    are kept (one of the name ``removed`` is replaced). With unit ``run``, a sentence goes if any run,
     line or paragraph that holds it goes; spans that touch are reported as one, and an
-    occurrence that overlaps the first one of its own text stays.
+    occurrence that overlaps the first one of its own text stays. The work on a text grows with
+    its length, however many of its units go.
     """
     found = stored(units(docs, unit, min_words), "units")
-    spans = repeats(found).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "number", "last"))).alias("__cut"))
-    spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__cut")
-    rows = docs.drop("removed").withColumn("__text_hash", F.xxhash64("text"))
-    same = rows["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (rows["__text_hash"] == spans["__hash"])
-    joined = rows.join(spans, same, "left")
-    numbers = F.transform("__cut", lambda c: c["number"])
-    if unit == "run":
-        numbers = F.array_distinct(F.flatten(F.transform("__cut", lambda c: F.sequence(c["number"], c["last"]))))
-    left = F.array_join(F.filter(F.split("text", ENDS[unit]), lambda _, i: ~F.array_contains(numbers, i)), "")
-    spans = F.transform("__cut", lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop")))
-    cut = F.coalesce(merged(spans) if unit == "run" else spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"))
-    columns = {"text": F.when(F.col("__cut").isNull(), F.col("text")).otherwise(left), "removed": cut}
-    return joined.withColumns(columns).drop("__cut", "__id", "__hash", "__text_hash")
+    spans = repeats(found).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cut"))
+    others = [c for c in docs.columns if c not in ("text", removed)]
+    # Other columns travel as one, so that their names meet none of ours.
+    rows = docs.select(F.struct(*others).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
+    same = rows["id"].eqNullSafe(spans["doc_id"]) & (rows["hash"] == spans["text_hash"])
+    joined = rows.join(spans, same, "left").select("row", "text", "cut")
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, gone = [], []
+        for text, spans in zip(batch["text"], batch["cut"]):
+            text, spans = text.as_py(), [(c["start"], c["stop"]) for c in spans.as_py() or []]
+            if spans:
+                text, spans = without_spans(text, spans, unit == "run")
+            texts.append(text)
+            gone.append([{"start": a, "stop": b} for a, b in spans])
+        kinds = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        return pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, pa.string()), pa.array(gone, kinds)], ["row", "text", "gone"])
+
+    spans_type = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("gone", spans_type)])
+    done = map_rows(joined, cut, schema)
+    return done.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c != removed], F.col("gone").alias(removed))

@@ -12,8 +12,8 @@ each, which joins groups of near copies without comparing all their pairs. The l
 give components, and then every candidate pair of classes in different components is compared
 exactly. So each link between components is found, and pairs inside one are never listed.
 
-Pairs become rows only where at most ``LONG_LIST`` components share a prefix shingle. Classes
-that share longer lists form families; a family is cut into blocks, each pair of blocks counts
+Pairs become rows only where a prefix shingle's classes in different components make at most
+``LONG_LIST`` pairs for each class. Classes that share other shingles form families; a family is cut into blocks, each pair of blocks counts
 its overlaps in arrays, and gives only the links that join components.
 """
 
@@ -41,7 +41,9 @@ BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 21
 #: Cost of reading one shingle when a candidate is verified, in postings.
 VERIFY_COST = 0.05
-MOST_WORDS = 400_000
+#: Bytes of words that a worker keeps the hashes of; each takes some 140 bytes besides its own.
+MOST_WORD_BYTES = 32 << 20
+WORD_BYTES = 140
 HOT_SHARE = 1000
 WAYS = 32
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -51,10 +53,17 @@ _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 class WordHashes(dict):
+    bytes = 0
+
     def __missing__(self, word: bytes) -> int:
         self[word] = value = xxhash.xxh3_64_intdigest(word)
+        self.bytes += WORD_BYTES + len(word)
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.bytes = 0
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _A
@@ -69,7 +78,7 @@ def shingles(text: str, k: int) -> np.ndarray:
     shingle, none are no shingle.
     """
     cache = kept("word hashes", WordHashes)
-    if len(cache) > MOST_WORDS:
+    if cache.bytes > MOST_WORD_BYTES:
         cache.clear()
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
@@ -373,9 +382,12 @@ def ngram_join(docs: DataFrame, k: int = WORDS, similarity: tuple[int, int] = SI
     grown = shared.join(near.withColumnRenamed("node", "class_id"), "class_id", "left")
     grown = stored(grown.select("token", "class_id", "n", "hub", F.coalesce("root", "class_id").alias("root")), "postings-by-component")
     held = grown.groupBy("token", "root").agg(F.count("*").alias("classes"), F.min("class_id").alias("one"), F.min("n").alias("low"), F.max("n").alias("high"))
-    lists = held.groupBy("token").agg(F.count("*").alias("roots")).filter("roots > 1")
-    lists = stored(lists, "lists-between")
-    short, long = lists.filter(F.col("roots") <= LONG_LIST).select("token"), lists.filter(F.col("roots") > LONG_LIST).select("token")
+    square = F.col("classes").cast("double") * F.col("classes")
+    lists = held.groupBy("token").agg(F.count("*").alias("roots"), F.sum("classes").alias("all"), F.sum(square).alias("inside"))
+    # Pairs of classes in different components, for each class of the list.
+    each = (F.col("all") - F.col("inside") / F.col("all")) / 2
+    lists = stored(lists.filter("roots > 1").select("token", (each > LONG_LIST).alias("long")), "lists-between")
+    short, long = lists.filter("NOT long").select("token"), lists.filter("long").select("token")
     few = stored(held.join(short, "token"), "postings-between")
     a, b = (few.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "classes", "one", "low", "high")]) for s in "ab")
     fits = (similarity[1] * F.col("high_a") >= similarity[0] * F.col("low_b")) & (similarity[1] * F.col("high_b") >= similarity[0] * F.col("low_a"))

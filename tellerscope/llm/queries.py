@@ -124,21 +124,53 @@ FROM d JOIN g USING (text_sha256)
 OP5_SQL = """
 WITH ends AS (
   SELECT doc_id, regexp_replace(text, '([.!?] |\n)', '\\1' || chr(1), 'g') AS marked FROM documents
-), lines AS (
+), lists AS (
   SELECT doc_id, string_split(marked, chr(1)) AS parts FROM ends
-), u AS (
-  SELECT doc_id, i, parts[i] AS line, trim(regexp_replace(lower(parts[i]), '\\s+', ' ', 'g')) AS norm,
+), p AS (
+  SELECT doc_id, i, parts[i] AS part, trim(regexp_replace(lower(parts[i]), '\\s+', ' ', 'g')) AS norm,
     CAST(coalesce(list_sum([length(x) FOR x IN parts[1:i - 1]]), 0) AS BIGINT) AS start
-  FROM lines, unnest(range(1, len(parts) + 1)) AS t(i)
-), r AS (
-  SELECT *, len(string_split(norm, ' ')) >= 8
-    AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS cut
-  FROM u
+  FROM lists, unnest(range(1, len(parts) + 1)) AS t(i)
+), placed AS (
+  SELECT *, start + length(part) AS stop, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS words,
+    coalesce(sum(CAST(part LIKE '%' || chr(10) AS INT)) OVER before, 0) AS line,
+    coalesce(sum(CAST(part = chr(10) AS INT)) OVER before, 0) AS paragraph
+  FROM p WINDOW before AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), ended AS (
+  SELECT *, max(i) OVER (PARTITION BY doc_id, line) AS line_end FROM placed
+), f AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto, upto - words AS before,
+    coalesce(lead(i) OVER (PARTITION BY doc_id, line ORDER BY i) - 1, line_end) AS closed
+  FROM ended WHERE words > 0
+), runs AS (
+  SELECT b.doc_id, a.i AS first, b.i AS last FROM f b ASOF JOIN f a ON b.doc_id = a.doc_id AND b.upto - 8 >= a.before
+  UNION SELECT a.doc_id, a.i, b.i FROM f a ASOF JOIN f b ON a.doc_id = b.doc_id AND a.before + 8 <= b.upto
+  UNION SELECT doc_id, min(i), max(i) FROM f GROUP BY doc_id, line HAVING sum(words) >= 8
+  UNION SELECT doc_id, min(i), max(i) FROM f GROUP BY doc_id, paragraph HAVING sum(words) >= 8
+), u AS (
+  SELECT r.doc_id, r.first, any_value(e.closed) AS last, min(f.start) AS start,
+    string_agg(f.norm, ' ' ORDER BY f.i) AS norm
+  FROM runs r JOIN f ON f.doc_id = r.doc_id AND f.i BETWEEN r.first AND r.last
+  JOIN f e ON e.doc_id = r.doc_id AND e.i = r.last
+  GROUP BY r.doc_id, r.first, r.last
+), units AS (
+  SELECT u.*, p.stop FROM u JOIN placed p ON p.doc_id = u.doc_id AND p.i = u.last
+), ranked AS (
+  SELECT *, first_value({'doc': doc_id, 'stop': stop}) OVER (PARTITION BY norm ORDER BY doc_id, start, stop) AS earliest FROM units
+), gone AS (
+  SELECT DISTINCT p.doc_id, p.i, p.start, p.stop FROM ranked r JOIN placed p ON p.doc_id = r.doc_id AND p.i BETWEEN r.first AND r.last
+  WHERE NOT (r.doc_id = r.earliest.doc AND r.start < r.earliest.stop)
+), islands AS (
+  SELECT doc_id, min(start) AS start, max(stop) AS stop
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM gone) GROUP BY doc_id, island
+), spans AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(start || '-' || stop, ' ' ORDER BY start) AS removed_spans
+  FROM islands GROUP BY 1
+), texts AS (
+  SELECT p.doc_id, coalesce(string_agg(p.part, '' ORDER BY p.i) FILTER (g.i IS NULL), '') AS text
+  FROM p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY 1
 )
-SELECT doc_id, coalesce(string_agg(line, '' ORDER BY i) FILTER (NOT cut), '') AS text,
-  count(*) FILTER (cut) AS n_removed,
-  coalesce(string_agg(start || '-' || (start + length(line)), ' ' ORDER BY i) FILTER (cut), '') AS removed_spans
-FROM r GROUP BY doc_id
+SELECT doc_id, text, coalesce(n_removed, 0) AS n_removed, coalesce(removed_spans, '') AS removed_spans
+FROM texts LEFT JOIN spans USING (doc_id)
 """
 
 OP9_SQL = """

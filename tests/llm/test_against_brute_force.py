@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tellerscope.llm import exact_dedup as exact_module
-from tellerscope.llm import maxscore, ngram_join, queries
+from tellerscope.llm import library_tokens, maxscore, ngram_join, queries
 from tellerscope.llm.byte_bpe import Encoder
 from tellerscope.llm.components import components
 from tellerscope.llm.exact_dedup import PerfectHash, Shard, exact_dedup, shard_blob
@@ -101,6 +102,22 @@ def test_ngram_join_of_chains_and_groups(spark):
         assert found == classes_by_hand(texts, k, *similarity)
 
 
+def test_families_of_several_blocks(spark, monkeypatch):
+    """Long lists are compared by blocks of a few sets, and give no other groups."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7)
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 0.4)
+    r = random.Random(8)
+    texts = {}
+    for i in range(90):  # templates, half of them in near pairs
+        words = [*[f"t{j}" for j in range(40)], *[f"own{i // 2}-{j}" for j in range(24)]]
+        words[50 + i % 10] = f"x{r.random() if i % 4 < 2 else i // 2}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for k, similarity in ((3, (90, 100)), (2, (8, 10)), (1, (7, 10))):
+        found = {row.doc_id: (row.n_shingles, row.component_id) for row in ngram_join.ngram_join(docs, k, similarity)[0].collect()}
+        assert found == classes_by_hand(texts, k, *similarity)
+
+
 def test_links_are_similar(docs, texts):
     _, links = ngram_join.ngram_join(docs, 5, (8, 10))
     for a, b, shared in links.collect():
@@ -176,11 +193,10 @@ def test_exact_dedup_with_history(spark):
 
 
 def test_library_pieces():
-    odd = ["", "a  b", " lead", "x\n\ny", "a \n b", "|", "a|b | c", "<|endoftext|> hi", "é ΑΣ Σ", "a\x1cb", "İ Ǆ", "İ. x. Ю. ᾳ, e\u0301.", *noise(2000, " \n\t|'slredvé1Aa.,<Σ")]
+    odd = ["", "a  b", " lead", "x\n\ny", "a \n b", "|", "a|b | c", "<|endoftext|> hi", "a <|endoftext|> b", "x<|startoftext|>y <|endoftext|>\n  <|endoftext|>", "<|ENDOFTEXT|> c", "<|endoftext", "é ΑΣ Σ", "a\x1cb", "İ Ǆ", "İ. x. Ю. ᾳ, e\u0301.", *noise(2000, " \n\t|'slredvé1Aa.,<Σ")]
     for name, blanks in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         path = public_tokenizers.path(name)
         library = Tokenizer.from_file(path)
-        library.encode_special_tokens = True
         want = [e.ids for e in library.encode_batch(odd, add_special_tokens=False)]
         assert [np.frombuffer(x, "<u2").tolist() for x in LibraryEncoder(path, blanks).encode(odd)] == want
 
@@ -210,6 +226,15 @@ def test_wavelet_matrix():
     assert WaveletMatrix.build(np.array([5], "<u2")).count(1 << 20) == 0
 
 
+def test_pieces_with_a_small_cache(monkeypatch):
+    monkeypatch.setattr(library_tokens, "MOST_BYTES", 500)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), LibraryEncoder(path, False)
+    for text in noise(200, " aeiou.,|"):
+        assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert encoder.first.bytes < 3000
+
+
 def test_byte_pairs(tiktoken_encoding):
     odd = ["", "'", "x's're'll y'all 'sa 'rex  \n 've\n'd", "a" * 500, "ab" * 300, " " * 50 + "x", "<|endoftext|>", "!!" * 100 + "'s", *noise(5000, " \n\t|'slredvmté1.,!\xa0　\x1c\x85中½²Ⅷ")]
     encoder = Encoder(RANKS)
@@ -362,6 +387,18 @@ def test_runs_of_short_sentences_go(spark):
     assert found[4] == ("Ha ho. " * 4, [(28, 84)])
 
 
+def test_cutting_many_units_is_linear(spark):
+    """40,000 repeated sentences of one text and another, and clashing columns."""
+    text = "".join(f"One sentence number {i} that has eight words. " for i in range(40_000))
+    rows = [(1, text, 7, 1, "a", 2), (2, "Its own. " + text + "End", 8, 2, "b", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, removed int, cut int, row string, hash int")
+    start = time.time()
+    found = {r.doc_id: r for r in line_dedup(docs.withColumnRenamed("removed", "was")).collect()}
+    assert time.time() - start < 60
+    assert found[1].text == text and found[2].text == "Its own. End" and [tuple(x) for x in found[2].removed] == [(9, 9 + len(text))]
+    assert (found[2].was, found[2].cut, found[2].row, found[2].hash) == (8, 2, "b", 3)
+
+
 def test_runs_leave_no_line(spark, docs):
     """On real rows, no line of eight words stays twice in what was not cut."""
     seen = collections.Counter()

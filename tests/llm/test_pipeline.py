@@ -1,6 +1,7 @@
 """Each stage of the pipeline against plain Python, on what the stage before it kept."""
 
 import collections
+import os
 import re
 
 import public_tokenizers
@@ -60,19 +61,48 @@ def test_near_keeps_the_smallest_id(stages):
     assert all(after[i].text == before[i].text for i in after)
 
 
+def units_by_hand(text):
+    """(start, stop, words) of the units of unit "run": by trying out, for each sentence, all ends and all beginnings."""
+    parts = re.split(r"(?<=\n)|(?<=[.!?] )", text)
+    words = [part.lower().split() for part in parts]
+    full = [i for i, w in enumerate(words) if w]
+    size = lambda a, b: sum(map(len, words[a : b + 1]))
+    found = set()
+    for x, a in enumerate(full):
+        found |= {(a, b) for b in [b for b in full[x : x + 9] if size(a, b) >= line_dedup.MIN_WORDS][:1]}
+        found |= {(b, a) for b in [b for b in full[max(0, x - 8) : x + 1] if size(b, a) >= line_dedup.MIN_WORDS][-1:]}
+    for split in (r"(?<=\n)", r"(?<=\n\n)"):
+        at = 0
+        for block in re.split(split, text):
+            n = len([part for part in re.split(r"(?<=\n)|(?<=[.!?] )", block) if part])
+            own = [i for i in full if at <= i < at + n]
+            if own and size(own[0], own[-1]) >= line_dedup.MIN_WORDS:
+                found.add((own[0], own[-1]))
+            at += n
+    starts = [0]
+    for part in parts:
+        starts.append(starts[-1] + len(part))
+    for a, b in found:
+        c = b
+        while c + 1 < len(parts) and not words[c + 1] and not parts[c].endswith("\n"):
+            c += 1
+        yield starts[a], starts[c + 1], " ".join(w for part in words[a : b + 1] for w in part)
+
+
 def test_lines_keep_the_first(stages):
     before, after = kept(stages, "line_dedup")
-    seen = set()
+    seen, cut = {}, 0
     for i in sorted(before):
-        lines = []
-        for line in re.split(r"(?<=\n)|(?<=[.!?] )", before[i].text):
-            words = line.lower().split()
-            key = " ".join(words)
-            if len(words) < line_dedup.MIN_WORDS or key not in seen:
-                lines.append(line)
-            if len(words) >= line_dedup.MIN_WORDS:
-                seen.add(key)
-        assert after[i].text == "".join(lines) and after[i].n_chars == len(after[i].text)
+        text = before[i].text
+        gone = set()
+        for start, stop, key in sorted(units_by_hand(text)):
+            first = seen.setdefault(key, (i, stop))
+            if first[0] != i or start >= first[1]:
+                gone.update(range(start, stop))
+        left = "".join(c for j, c in enumerate(text) if j not in gone)
+        cut += len(text) - len(left)
+        assert after[i].text == left and after[i].n_chars == len(left)
+    assert cut > 1000
 
 
 def test_packing_holds_every_token(stages):
@@ -99,6 +129,31 @@ def test_odd_rows_and_columns(spark):
     assert docs.count() > 0
 
 
+def test_clashing_columns_pass_through(spark):
+    names = ["removed", "__id", "__hash", "__cut", "__way", "row", "cut", "id", "hash", "start", "runs", "n", "key", "removed before"]
+    line = "a plain line of english text that is long enough to be told by the machines\n"
+    rows = [(i, f"document {i} has words of its own, this one is number {i}\n{line}", "en", *[f"{name} {i}" for name in names]) for i in (1, 2)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", *names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), name)
+        assert docs.columns == ["doc_id", "text", "lang", *names]
+    found = {r.doc_id: r for r in docs.collect()}
+    assert set(found) == {1, 2} and all(found[i][name] == f"{name} {i}" for i in found for name in names)
+    assert line in found[1].text and line not in found[2].text
+
+
+def test_work_folders_go(spark):
+    """A stage deletes what the stages before it left, but not what its input reads."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    once = stored(corpus_pipeline.exact(spark, docs, SF), "exact")
+    left = list(corpus_pipeline._LEFT)
+    assert left and all(os.path.isdir(p.removeprefix("file:")) for p in left)
+    lazy = corpus_pipeline.exact(spark, once, SF)
+    assert not any(os.path.isdir(p.removeprefix("file:")) for p in left)
+    again = corpus_pipeline.language(spark, lazy, SF)  # reads folders of the stage before
+    assert again.count() <= once.count()
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for name, stage in corpus_pipeline.STAGES:
