@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerscope.functions.columns import money_sum
+from tellerscope.operators import ml
 
 LARGE_AMOUNT = 350_000
 FLOW = ("countryOrig", "countryDest", "type")
@@ -131,10 +133,21 @@ def distinct_codes(countries: DataFrame, pattern: str) -> DataFrame:
 def customer_large(
     gold: DataFrame, email: str, min_amount: float = 300_000, n: int = 50
 ) -> DataFrame:
-    """One customer's large transactions, in id order; score them with ``ml.score``."""
+    """One customer's large transactions, in id order."""
     picked = large_amount(gold.filter(F.col("email") == email), min_amount)
     return top(picked, n, "id")
 
 
+def customer_large_scored(
+    gold: DataFrame, email: str, model: PipelineModel, min_amount: float = 300_000, n: int = 50
+) -> DataFrame:
+    """``customer_large`` with ``fraud_probability`` and ``fraud_prediction`` beside each row."""
+    picked = customer_large(gold, email, min_amount, n)
+    typed = {c: F.col(c).cast("float").alias(c) for c in ml.NUMERIC}
+    answers = ml.predict(picked.select("id", *typed.values(), *ml.CATEGORICAL), model)
+    answers = answers.select("id", "fraud_probability", "fraud_prediction")
+    return picked.join(answers.dropDuplicates(["id"]), "id").orderBy("id")
+
+
 def latest(df: DataFrame, n: int = 50, by: str = "scored_at", tie: str = "id") -> DataFrame:
     return top(df, n, F.desc(by), F.desc(tie))

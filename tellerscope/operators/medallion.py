@@ -17,6 +17,7 @@ from tellerscope.functions.columns import (
     star_except,
     to_double,
 )
+from tellerscope.functions.sizing import broadcast_if_small
 from tellerscope.functions.skew import skew_hints, skew_join
 
 # Columns that stop at bronze.
@@ -69,10 +70,13 @@ def gold(
     """Silver enriched with both countries and the customer.
 
     All three joins are inner: rows with an unknown code or customer are not in gold.
-    The country table is not hinted; Spark broadcasts it while its statistics say it is
-    small and shuffles otherwise.
+    The country table is counted here and broadcast if its rows and bytes are few; a larger one
+    is shuffled.
     """
     hints = _hints(hints, silver, "customer_id")
+    countries = countries.select("alpha3_code", "country", "long_avg", "lat_avg")
+    if not countries.isStreaming:
+        countries = broadcast_if_small(countries)
     orig, dest = _country_side(countries, "Orig"), _country_side(countries, "Dest")
     enriched = silver.join(orig, "countryOrig").join(dest, "countryDest")
     enriched = skew_join(
@@ -103,9 +107,11 @@ def gold_by_country(gold: DataFrame, country: str | None = None) -> DataFrame:
 def gold_unmatched(silver: DataFrame, countries: DataFrame, customers: DataFrame) -> DataFrame:
     """Silver rows each gold join loses, as (reason, rows).
 
-    One pass: codes are looked up first, then silver shrinks to one row of counts per
-    customer, which is already placed for the customer join.
+    One pass: codes are looked up first, in a country table that is broadcast if it is small,
+    then silver shrinks to one row of counts per customer, which is already placed for the
+    customer join.
     """
+    countries = broadcast_if_small(countries.select("alpha3_code"))
 
     def known(dim: DataFrame, key: str, name: str) -> DataFrame:
         return dim.select(F.col(key).alias(name)).distinct().withColumn(f"has_{name}", F.lit(True))

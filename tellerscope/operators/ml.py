@@ -8,17 +8,19 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tellerscope.functions.quantiles import exact_medians
+from tellerscope.functions.sizing import written
+
 NUMERIC = ("amount", "newBalanceDest", "oldBalanceDest", "diffOrig", "diffDest")
 CATEGORICAL = ("type", "countryOrig_name", "countryDest_name")
 GRID = tuple((trees, depth) for trees in (10, 20) for depth in (10, 20))
@@ -66,12 +68,23 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _filled(column: str, median: float | None) -> str:
+    """SQL of a number with its gaps (NULL or NaN) filled by the median, if there is one."""
+    known = f"nanvl({column}, CAST(NULL AS FLOAT))"
+    return f"{known} AS {column}_f" if median is None else f"coalesce({known}, CAST({median!r}D AS FLOAT)) AS {column}_f"
+
+
 def fit_preprocessing(train: DataFrame) -> list:
-    """Fitted stages: medians, most frequent categories, one-hot codes, assembly.
+    """Fitted stages: exact medians, most frequent categories, one-hot codes, assembly.
 
-    A category unseen in training becomes an all-zero code. Two passes over ``train``.
+    The median of an even number of values is the mean of the two in the middle. A category
+    unseen in training becomes an all-zero code. The passes over ``train`` are one for the
+    categories, and two and a few over ever smaller parts for the medians.
     """
     values = category_values(train)
+    known = train.select(*[F.nanvl(F.col(c), F.lit(None).cast("float")).alias(c) for c in NUMERIC])
+    medians = {r["feature"]: r["median"] for r in exact_medians(known, NUMERIC).collect()}
+    numeric = ", ".join(_filled(c, medians.get(c)) for c in NUMERIC)
     filled = ", ".join(
         f"coalesce({c}, {_quoted(values[c][0])}) AS {c}_f" if values[c] else f"{c} AS {c}_f"
         for c in CATEGORICAL
@@ -79,7 +92,6 @@ def fit_preprocessing(train: DataFrame) -> list:
     numbers = [f"{c}_f" for c in NUMERIC]
     index = [f"{c}_i" for c in CATEGORICAL]
     code = [f"{c}_v" for c in CATEGORICAL]
-    imputer = Imputer(strategy="median", inputCols=list(NUMERIC), outputCols=numbers).fit(train)
     # One model per column: label lists of unequal length do not fit one model.
     indexers = [
         StringIndexerModel.from_labels(
@@ -91,8 +103,7 @@ def fit_preprocessing(train: DataFrame) -> list:
     # for unseen values.
     encoder = OneHotEncoder(inputCols=index, outputCols=code, dropLast=True)
     stages = [
-        imputer,
-        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, {numeric}, {filled} FROM __THIS__"),
         *indexers,
     ]
     return [
@@ -173,6 +184,39 @@ def evaluate(pred: DataFrame, label: str = "label", prediction: str = "predictio
     )
 
 
+def ranked_auc(
+    scored: DataFrame, label: str = "label", score: str = "fraud_probability", parts: int = 256
+) -> DataFrame:
+    """(positives, negatives, auc): the ranked area under the curve, in percent, ties by half.
+
+    Labels are counted per distinct score; those rows are dealt to ranges of the score, each
+    range sums up its own, and the sums of the ranges (at most ``parts`` rows) place them behind
+    each other. So no task holds all scores. ``auc`` is NULL without both classes; rows
+    without label or score do not count.
+    """
+    positive = F.col(label).cast("int") == 1
+    rows = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    counts = rows.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    )
+    ranged = counts.repartitionByRange(parts, "score").withColumn("part", F.spark_partition_id())
+    ranged = written(ranged, "score-ranges")  # a range keeps its number
+    sums = ranged.groupBy("part").agg(F.sum("neg").alias("neg"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("part", F.coalesce(F.sum("neg").over(before), F.lit(0)).alias("below"))
+    inside = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    placed = ranged.withColumn("own", own).join(F.broadcast(sums), "part")
+    wins = 2 * (F.col("below") + F.col("own")) + F.col("neg")  # of each positive, in halves
+    total = placed.agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"),
+        F.sum(F.col("pos").cast("decimal(18,0)") * wins.cast("decimal(19,0)")).alias("wins"),
+    )
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    return total.select("positives", "negatives", F.try_divide(F.col("wins").cast("double") * 50, pairs).alias("auc"))
+
+
 def roc_auc(scored: DataFrame, label: str = "label") -> float:
     """Area under the ROC curve of ``fraud_probability``."""
     return BinaryClassificationEvaluator(
@@ -189,6 +233,8 @@ def grid_search(
     stages = fit_preprocessing(train)
     prep = PipelineModel(stages)
     ready = prep.transform(train).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    ready.count()
+    train.unpersist()  # from here on only the prepared rows are read
     held_out = prep.transform(test).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
     try:
@@ -198,7 +244,7 @@ def grid_search(
             metrics = evaluate(forest.transform(held_out)).first().asDict()
             rows.append({"n_estimators": trees, "max_depth": depth, **metrics})
     finally:
-        for kept in (train, ready, held_out):
+        for kept in (ready, held_out):
             kept.unpersist()
     schema = "n_estimators int, max_depth int, tn long, fp long, fn long, tp long, " + ", ".join(
         f"{m} double" for m in ("accuracy", "precision", "recall", "f1", "auc")

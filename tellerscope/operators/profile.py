@@ -7,21 +7,29 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from tellerscope.functions.sizing import pin_small
+from tellerscope.functions.quantiles import exact_percentiles
+from tellerscope.functions.sizing import pin_small, written
 
 NUMERIC_FEATURES = ("amount", "newBalanceDest", "oldBalanceDest", "diffOrig", "diffDest")
 PERCENTILES = (("p10", 0.10), ("p25", 0.25), ("p50", 0.50), ("p75", 0.75), ("p90", 0.90))
 
 
 def numeric_profile(
-    gold: DataFrame, features: Sequence[str] = NUMERIC_FEATURES, accuracy: int = 10_000
+    gold: DataFrame,
+    features: Sequence[str] = NUMERIC_FEATURES,
+    accuracy: int = 10_000,
+    exact: bool = False,
 ) -> DataFrame:
-    """Count and distribution of each feature per (type, is_fraud), in one pass.
+    """Count and distribution of each feature per (type, is_fraud). A statistic without values is 0.
 
-    All percentiles of a feature come from one sketch, merged map-side first. A
-    statistic without values is 0.
+    All percentiles of a feature come from one sketch, merged map-side first, in one pass. With
+    ``exact`` they are the values at the exact ranks; the features are then read again, which
+    they are from memory or disk.
     """
+    keys = ("type", "is_fraud")
+    rows = gold.select("type", F.col("is_fraud").cast("int").alias("is_fraud"), *features)
     aggs = [F.count(F.lit(1)).alias("count")]
     for f in features:
         v = F.col(f).cast("double")
@@ -30,9 +38,18 @@ def numeric_profile(
             F.stddev(v).alias(f"{f}_stddev"),
             F.min(v).alias(f"{f}_min"),
             F.max(v).alias(f"{f}_max"),
-            F.percentile_approx(v, [p for _, p in PERCENTILES], accuracy).alias(f"{f}_q"),
         ]
-    stats = gold.groupBy("type", F.col("is_fraud").cast("int").alias("is_fraud")).agg(*aggs)
+        if not exact:
+            quantiles = F.percentile_approx(v, [p for _, p in PERCENTILES], accuracy)
+            aggs.append(quantiles.alias(f"{f}_q"))
+    if exact:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stats = _with_exact(written(rows.groupBy(*keys).agg(*aggs), "profile"), rows, features)
+        finally:
+            rows.unpersist()
+    else:
+        stats = rows.groupBy(*keys).agg(*aggs)
     zero = F.lit(0.0)
     out = []
     for f in features:
@@ -46,6 +63,18 @@ def numeric_profile(
     return stats.select("type", "is_fraud", "count", *out).orderBy("type", "is_fraud")
 
 
+def _with_exact(stats: DataFrame, rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``stats`` with the exact percentiles of each feature as ``<feature>_q``."""
+    found = exact_percentiles(rows, ["type", "is_fraud"], features, [p for _, p in PERCENTILES])
+    pairs = F.map_from_entries(F.collect_list(F.struct("feature", "values")))  # one per feature
+    wide = found.groupBy("type", "is_fraud").agg(pairs.alias("q"))
+    wide = written(wide, "percentiles").withColumnsRenamed({"type": "t", "is_fraud": "f"})
+    same = F.col("type").eqNullSafe(F.col("t")) & F.col("is_fraud").eqNullSafe(F.col("f"))
+    return stats.join(wide, same, "left").select(
+        *stats.columns, *[F.col("q")[f].alias(f"{f}_q") for f in features]
+    )
+
+
 def _share(part, whole, digits: int):
     return F.when(whole > 0, F.round(part / whole, digits)).otherwise(F.lit(0.0))
 
@@ -103,7 +132,9 @@ def customer_lookup(customers: DataFrame) -> DataFrame:
     )
 
 
-def write_profile(gold: DataFrame, path: str, profiled_at: datetime | None = None) -> None:
+def write_profile(
+    gold: DataFrame, path: str, profiled_at: datetime | None = None, exact: bool = False
+) -> None:
     """Write each section, and the time it was made, as JSON below ``path``.
 
     Two passes over gold: one for the numeric features, one for counts per type and
@@ -111,7 +142,7 @@ def write_profile(gold: DataFrame, path: str, profiled_at: datetime | None = Non
     """
     counts = _counted(gold, "type", "countryOrig_name", "countryDest_name").persist()
     sections = {
-        "numeric_profiles": numeric_profile(gold),
+        "numeric_profiles": numeric_profile(gold, exact=exact),
         "overall": overall_stats(counts),
         "type_frequencies": type_frequencies(counts),
         "country_pairs": country_pairs(counts),

@@ -6,8 +6,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from tellerscope.functions.sizing import pin_small
+from tellerscope.functions.quantiles import exact_percentiles
+from tellerscope.functions.sizing import pin_small, written
 from tellerscope.operators.cdc import current_state
 
 # --- fixed values -----------------------------------------------------------
@@ -46,26 +48,34 @@ LIVE_NAMES = {
 }
 
 
-def type_stats(gold: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Fraud rate and amount percentiles per type.
+def fraud_rate(frauds: Column, rows: Column) -> Column:
+    """Fraud rate with five decimals, so 0.099996 counts as 0.10.
 
-    The rate has five decimals, so 0.099996 counts as 0.10. It is a ratio of two
-    counts: they merge map-side and cannot overflow as a decimal average would.
+    A ratio of two counts: they merge map-side and cannot overflow as a decimal average would.
     """
-    stats = gold.groupBy("type").agg(
-        (
-            F.count_if("is_fraud").cast("decimal(20,0)")
-            / F.count(F.lit(1)).cast("decimal(20,0)")
-        )
-        .cast("decimal(6,5)")
-        .alias("fraud_rate_type"),
-        F.percentile_approx("amount", [q for _, q in QUANTILES], accuracy).alias("q"),
-    )
-    return stats.select(
-        "type",
-        "fraud_rate_type",
-        *[F.get("q", F.lit(i)).alias(f"{n}_amount_type") for i, (n, _) in enumerate(QUANTILES)],
-    )
+    return (frauds.cast("decimal(20,0)") / rows.cast("decimal(20,0)")).cast("decimal(6,5)")
+
+
+def stats_columns(quantiles: str) -> list[Column]:
+    names = [f"{n}_amount_type" for n, _ in QUANTILES]
+    return [F.get(quantiles, F.lit(i)).alias(name) for i, name in enumerate(names)]
+
+
+def type_stats(gold: DataFrame, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
+    """Fraud rate and amount percentiles per type; ``exact`` gives exact ranks in more passes."""
+    rate = fraud_rate(F.count_if("is_fraud"), F.count(F.lit(1))).alias("fraud_rate_type")
+    if not exact:
+        amounts = F.percentile_approx("amount", [q for _, q in QUANTILES], accuracy).alias("q")
+        return gold.groupBy("type").agg(rate, amounts).select("type", "fraud_rate_type", *stats_columns("q"))
+    rows = gold.select("type", "is_fraud", "amount").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rates = written(rows.groupBy("type").agg(rate), "fraud-rates")
+        found = exact_percentiles(rows, ["type"], ["amount"], [q for _, q in QUANTILES])
+        found = written(found.select(F.col("type").alias("t"), "values"), "percentiles")
+    finally:
+        rows.unpersist()
+    joined = rates.join(found, F.col("type").eqNullSafe(F.col("t")), "left")
+    return joined.select("type", "fraud_rate_type", *stats_columns("values"))
 
 
 def baseline(gold: DataFrame, accuracy: int = 10_000) -> DataFrame:
@@ -253,7 +263,10 @@ def register_functions(
     spark: SparkSession, gold: DataFrame, log: DataFrame | None = None, stats: DataFrame | None = None
 ) -> None:
     """SQL table functions ``explain_transaction_risk(id)`` and, with a change log,
-    ``explain_live_transaction_risk(id)``. The id filter reaches the scan of the view."""
+    ``explain_live_transaction_risk(id)``. The id filter reaches the scan of the view.
+
+    ``stats`` is pinned if left out. With that of ``baseline_store.merged`` each call reads the
+    stored parts; after new files, ``refresh_functions`` makes them seen."""
     stats = baseline(gold) if stats is None else stats
     empty = gold.limit(0)
     _register(
@@ -269,3 +282,14 @@ def register_functions(
             risk_scores(live_transactions(log), stats, live=True),
             add_risk(risk_features(empty, stats, single=True), live=True).select(*RESULT),
         )
+
+
+def refresh_functions(spark: SparkSession) -> None:
+    """Let the registered functions see files that came to gold, the log or a stored baseline.
+
+    Only the lists of files are made anew; no row is read.
+    """
+    for name in ("explain_transaction_risk", "explain_live_transaction_risk"):
+        for view in (f"{name}_scores", f"{name}_missing"):
+            if spark.catalog.tableExists(view):
+                spark.catalog.refreshTable(view)

@@ -158,11 +158,25 @@ RISK = STATS + """, txns AS (
              'Funds were sent to a destination account with no prior balance.' END,
            CASE WHEN flag_large_p99 = 1 THEN 'Amount is extreme for this type'
                 WHEN flag_large_p95 = 1 THEN 'Amount is unusually large for this type' END
-         ] IF x IS NOT NULL])[1:3] AS raised
+         ] IF x IS NOT NULL])[1:3] AS raised,
+         ([x FOR x IN [
+           CASE WHEN flag_type_prior = 1 THEN 'Transaction type ' || type || ' has an elevated fraud rate ('
+             || CAST(CAST(round(CAST(fraud_rate_type AS DECIMAL(6,5)) * 100, 1) AS DECIMAL(9,1)) AS STRING) || '%).' END,
+           CASE WHEN flag_drains_origin = 1 THEN
+             'This transaction drains most of the origin account balance.' END,
+           CASE WHEN flag_empty_dest = 1 THEN
+             'Funds were sent to a destination account with no prior balance.' END,
+           CASE WHEN flag_large_p99 = 1 THEN 'Amount is extreme for this type (>= p99 ≈ '
+                  || CAST(round(p99_amount_type, 2) AS STRING) || ').'
+                WHEN flag_large_p95 = 1 THEN 'Amount is unusually large for this type (>= p95 ≈ '
+                  || CAST(round(p95_amount_type, 2) AS STRING) || ').' END
+         ] IF x IS NOT NULL])[1:3] AS texts
   FROM flags
 ), told AS (
   SELECT *, CASE WHEN len(raised) > 0 THEN raised
-                 ELSE ['No strong red flags from basic rules.'] END AS shown
+                 ELSE ['No strong red flags from basic rules.'] END AS shown,
+         CASE WHEN len(texts) > 0 THEN texts
+              ELSE ['No strong red flags from basic rules.'] END AS full_texts
   FROM scored
 )
 """
@@ -181,7 +195,7 @@ LIVE_TXNS = f"""SELECT id, type, amount, old_balance_orig AS oldBalanceOrig,
          new_balance_dest AS newBalanceDest FROM ({CURRENT})"""
 
 GOLD_RISK = RISK.format(
-    txns=f"SELECT id, {COLLAPSED} FROM gold_transactions GROUP BY id"
+    txns=f"SELECT id, {COLLAPSED}, max(customer_id) AS customer_id FROM gold_transactions GROUP BY id"
 )
 LIVE_RISK = RISK.format(txns=f"SELECT id, {COLLAPSED} FROM ({LIVE_TXNS}) GROUP BY id")
 
@@ -238,6 +252,26 @@ def _explained(scores: str, known: str, missing: tuple[str, str]) -> str:
 FROM ids LEFT JOIN told ON CAST(told.id AS STRING) = ids.id"""
 
 
+MERGED = """SELECT * REPLACE (
+  CASE WHEN source_file NOT IN ('part-0.csv', 'part-1.csv') THEN is_fraud END AS is_fraud)
+FROM silver_transactions"""
+
+
+def _figures(section: str, key: str, columns: tuple[str, ...], rows: str) -> str:
+    """One row per figure of a section of the profile."""
+    pairs = ", ".join(f"{{'figure': '{c}', 'value': round(CAST({c} AS DOUBLE), 3)}}" for c in columns)
+    return f"""SELECT '{section}' AS section, key, p.figure, p.value
+FROM (SELECT {key} AS key, unnest([{pairs}]) AS p FROM ({rows}))"""
+
+
+# The test split by a hash of the id, and the answer a forest learns to give.
+TEST_ROWS = "CAST('0x' || substr(md5('0:' || id), 1, 7) AS BIGINT) % 100 >= 80"
+ANSWER = "type = 'TRANSFER'"
+GRID = f"""SELECT CAST(trees AS INT) AS n_estimators, CAST(depth AS INT) AS max_depth, tn, 0 AS fp, 0 AS fn, tp,
+  100.0E0 AS accuracy, 100.0E0 AS precision, 100.0E0 AS recall, 100.0E0 AS f1, 100.0E0 AS auc
+FROM (SELECT count(*) FILTER (NOT {ANSWER}) AS tn, count(*) FILTER ({ANSWER}) AS tp
+      FROM gold_transactions WHERE {TEST_ROWS})"""
+
 # A text starting with "," continues the list of table expressions.
 QUERIES = {
     "ingest_files": f"""SELECT id, step, type, amount, customer_id, nameOrig, nameDest, countryOrig,
@@ -262,8 +296,14 @@ FROM gold_transactions GROUP BY type""",
 FROM silver_transactions, (VALUES ('table'), ('view')) AS k(kind) GROUP BY kind""",
     "reset_scored": """SELECT CAST(0 AS BIGINT) AS rows_left, count(*) AS rows_before
 FROM scored_transactions""",
-    "parse_json_messages": """SELECT k AS id, type, amount, CAST(o_custkey AS INT) AS customer_id,
-  oldBalanceOrig AS old_balance_orig, CAST(NULL AS STRING) AS firstname
+    "parse_json_messages": """SELECT k AS id, '2024-01-01 00:00:00' AS timestamp, type, amount,
+  CAST(o_custkey AS INT) AS customer_id, 'First ' || CAST(o_custkey AS STRING) AS firstname,
+  CASE WHEN k % 3 = 0 THEN '"Last", ' || CAST(o_custkey AS STRING) END AS lastname,
+  'N' || CAST(c_nationkey AS STRING) AS country_orig, 'N' || CAST(k % 25 AS STRING) AS country_dest,
+  oldBalanceOrig AS old_balance_orig, oldBalanceOrig - amount AS new_balance_orig,
+  oldBalanceDest AS old_balance_dest,
+  CASE WHEN k % 5 <> 0 THEN oldBalanceDest + amount END AS new_balance_dest,
+  -amount AS diff_orig, amount AS diff_dest
 FROM txn_base WHERE k % 17 <> 0 AND k % 13 <> 0""",
     "rejected_messages": """SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'unreadable'
     WHEN o_orderkey % 17 = 0 THEN 'no id' ELSE 'no time' END AS reason, count(*) AS count
@@ -272,15 +312,11 @@ WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 GROUP BY
     "insert_if_absent": """SELECT id, type,
   CASE WHEN type IN ('TRANSFER', 'CASH_OUT') THEN amount ELSE amount + 2 END AS amount
 FROM scored_transactions""",
-    "merge_insert_only": """SELECT id, amount, source_file,
-  CASE WHEN source_file NOT IN ('part-0.csv', 'part-1.csv') THEN is_fraud END AS is_fraud
-FROM silver_transactions""",
+    "merge_insert_only": MERGED,
+    "merge_into_bucketed": MERGED,
     "relabel_late_reports": "SELECT id, amount, is_fraud FROM silver_transactions",
     "customer_lookup": """SELECT id, firstname, lastname,
   CASE WHEN country = 'N03' THEN '' ELSE country END AS country FROM banking_customers""",
-    "profile_json_sink": """SELECT count(*) AS total_transactions,
-  count(*) FILTER (is_fraud) AS total_fraud,
-  round(count(*) FILTER (is_fraud) * 1.0E0 / count(*), 6) AS fraud_rate FROM gold_transactions""",
     "clean_country": """SELECT id, replace(countryOrig, '--', '') AS countryOrig,
   replace(countryDest, '--', '') AS countryDest FROM bronze_transactions""",
     "cast_balances": f"SELECT id, {BALANCES} FROM bronze_transactions",
@@ -292,8 +328,8 @@ FROM bronze_transactions""",
     "gold_by_country": """SELECT id, customer_id, country, amount FROM gold_transactions
 WHERE country = 'N05'""",
     "large_amount": f"SELECT id, amount, is_fraud FROM gold_transactions WHERE {LARGE}",
-    "customer_large_txns": """SELECT id, nameOrig, nameDest, type, amount FROM gold_transactions
-WHERE email = 'c7@example.org' AND amount > 100000 ORDER BY id LIMIT 50""",
+    "customer_large_txns": f"""SELECT id, nameOrig, nameDest, type, amount, {ANSWER} AS fraud_prediction
+FROM gold_transactions WHERE email = 'c7@example.org' AND amount > 100000 ORDER BY id LIMIT 50""",
     "sample_rows": "SELECT * FROM bronze_transactions ORDER BY id LIMIT 10",
     "codes_like": """SELECT DISTINCT alpha3_code FROM country_coordinates
 WHERE alpha3_code LIKE 'N1%'""",
@@ -403,12 +439,16 @@ ORDER BY scored_at DESC, id DESC LIMIT 50""",
     "latest_cdc_rows": "SELECT * FROM live_history ORDER BY _lsn DESC LIMIT 5",
     "risk_features": f", {GOLD_RISK} SELECT * FROM flags",
     "risk_scores": f", {GOLD_RISK} SELECT id, risk_score FROM scored",
-    "risk_signals": f", {GOLD_RISK} SELECT id, {TOLD} FROM told",
+    "risk_signals": f", {GOLD_RISK} SELECT id, array_to_string(full_texts, ' | ') AS signals FROM told",
     "risk_explanation": f""", {GOLD_RISK} SELECT id, 'Risk score ' || CAST(risk_score AS STRING)
-  || '/100. Key factors: ' || array_to_string(
-     [CASE WHEN x LIKE '%.' THEN x ELSE x || '.' END FOR x IN shown], ' ') AS explanation FROM told""",
+  || '/100. Key factors: ' || array_to_string(full_texts, ' ') AS explanation FROM told""",
     "risk_feature_map": f""", {GOLD_RISK} SELECT id, CAST(17 AS INT) AS n_features,
   CAST(found_count AS STRING) AS found_count, type,
+  CAST(amount AS STRING) AS amount, CAST(oldBalanceOrig AS STRING) AS oldBalanceOrig,
+  CAST(newBalanceOrig AS STRING) AS newBalanceOrig, CAST(oldBalanceDest AS STRING) AS oldBalanceDest,
+  CAST(newBalanceDest AS STRING) AS newBalanceDest,
+  CAST(p50_amount_type AS STRING) AS p50_amount_type, CAST(p90_amount_type AS STRING) AS p90_amount_type,
+  CAST(p95_amount_type AS STRING) AS p95_amount_type, CAST(p99_amount_type AS STRING) AS p99_amount_type,
   CAST(CAST(fraud_rate_type AS DECIMAL(6,4)) AS STRING) AS fraud_rate_type,
   CAST(flag_type_prior AS STRING) AS flag_type_prior,
   CAST(flag_drains_origin AS STRING) AS flag_drains_origin,
@@ -448,8 +488,48 @@ UNION ALL SELECT 'scored', type, count(*) FROM scored_transactions GROUP BY type
   tp / (tp + fp) * 100 AS precision, tp / (tp + fn) * 100 AS recall,
   2 * tp / (2 * tp + fp + fn) * 100 AS f1,
   (tp / (tp + fn) + tn / (tn + fp)) / 2 * 100 AS auc FROM n""",
-    "score_threshold": """SELECT id, fraud_probability >= 0.5E0 AS fraud_prediction
-FROM scored_transactions""",
+    "score_threshold": f"""SELECT id, true AS at_none, {ANSWER} AS at_half, false AS at_most
+FROM gold_transactions""",
+    "train_rf": f"""SELECT id, CAST({ANSWER} AS FLOAT) AS label, {ANSWER} AS fraud_prediction, true AS is_probability
+FROM gold_transactions WHERE {TEST_ROWS}""",
+    "score_batch": f"""SELECT id, CAST(amount AS FLOAT) AS amount,
+  CAST(newBalanceDest AS FLOAT) AS newBalanceDest, CAST(oldBalanceDest AS FLOAT) AS oldBalanceDest,
+  CAST(diffOrig AS FLOAT) AS diffOrig, CAST(diffDest AS FLOAT) AS diffDest, type, {ANSWER} AS fraud_prediction
+FROM gold_transactions""",
+    "prediction_counts": f"""SELECT {ANSWER} AS fraud_prediction, count(*) AS count
+FROM gold_transactions GROUP BY 1""",
+    "grid_search": f"{GRID}, (VALUES (10), (20)) AS t(trees), (VALUES (10), (20)) AS d(depth)",
+    "select_best": f"{GRID}, (VALUES (10)) AS t(trees), (VALUES (10)) AS d(depth)",
+    "stream_score": f"""SELECT CAST(id AS BIGINT) AS id, type, amount, oldBalanceOrig AS old_balance_orig,
+  newBalanceDest AS new_balance_dest, {ANSWER} AS fraud_prediction FROM silver_transactions""",
+    "preprocess": """, f AS (
+  SELECT id, type, countryOrig_name, nullif(countryDest_name, 'NATION_3') AS dest,
+    CAST(CASE WHEN type <> 'DEBIT' THEN amount END AS FLOAT) AS amount,
+    CAST(newBalanceDest AS FLOAT) AS newBalanceDest, CAST(oldBalanceDest AS FLOAT) AS oldBalanceDest,
+    CAST(diffOrig AS FLOAT) AS diffOrig, CAST(diffDest AS FLOAT) AS diffDest FROM gold_transactions
+), filled AS (
+  SELECT *, coalesce(dest, (SELECT dest FROM f WHERE dest IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, dest LIMIT 1)) AS countryDest_name_f,
+    CAST(coalesce(amount, CAST((SELECT quantile_cont(CAST(amount AS DOUBLE), 0.5) FROM f) AS FLOAT)) AS DOUBLE) AS amount_f FROM f
+), codes AS (
+  SELECT (SELECT list(DISTINCT type ORDER BY type) FROM f) AS t,
+    (SELECT list(DISTINCT countryOrig_name ORDER BY countryOrig_name) FROM f) AS o,
+    (SELECT list(DISTINCT dest ORDER BY dest) FROM f WHERE dest IS NOT NULL) AS d
+) SELECT id, countryDest_name_f, amount_f, CAST(newBalanceDest AS DOUBLE) AS newBalanceDest_f,
+  CAST(oldBalanceDest AS DOUBLE) AS oldBalanceDest_f, CAST(diffOrig AS DOUBLE) AS diffOrig_f,
+  CAST(diffDest AS DOUBLE) AS diffDest_f, CAST(5 + len(t) + len(o) + len(d) AS INT) AS width,
+  (4 + list_position(t, type)) || ' ' || (4 + len(t) + list_position(o, countryOrig_name)) || ' '
+    || (4 + len(t) + len(o) + list_position(d, countryDest_name_f)) AS ones
+FROM filled, codes""",
+    "evaluate_ranked": """, s AS (
+  SELECT floor(fraud_probability * 40) AS score,
+    CASE WHEN id % 7 = 0 THEN NOT fraud_prediction ELSE fraud_prediction END AS label FROM scored_transactions
+), r AS (
+  SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS place FROM s
+), n AS (
+  SELECT count(*) FILTER (label) AS positives, count(*) FILTER (NOT label) AS negatives,
+    sum(place) FILTER (label) AS places FROM r
+) SELECT positives, negatives,
+  round((places - positives * (positives + 1) / 2) * 100 / (CAST(positives AS DOUBLE) * negatives), 9) AS auc FROM n""",
     "snapshot_publish": """SELECT 0 AS version, 'publish' AS operation, count(*) AS rows
 FROM country_coordinates UNION ALL
 SELECT 1, 'delete', count(*) FROM country_coordinates WHERE alpha3_code <> 'N05'""",
@@ -462,6 +542,35 @@ WHERE countryOrig = 'N05' OR countryDest = 'N05' UNION ALL SELECT 'gained', 0"""
     "silver_stream": f"""SELECT t.id, customer_id, amount,
   replace(countryOrig, '--', '') AS countryOrig, replace(countryDest, '--', '') AS countryDest,
   f.is_fraud FROM ({DOUBTFUL}) t LEFT JOIN fraud_reports f ON t.id = f.id WHERE amount > 0""",
+    "baseline_parts": f", {STATS} SELECT * FROM type_stats",
+    "explain_after_new_rows": f""", asked AS (
+  SELECT CAST(k AS STRING) AS id FROM (VALUES (4), (5), (12), (13), (14), (15)) AS v(k)
+), all_gold AS (SELECT * FROM gold_transactions), stages AS (
+  SELECT 'before' AS stage, t.* FROM (
+    WITH gold_transactions AS (SELECT * FROM all_gold WHERE CAST(id AS BIGINT) % 4 < 2), {GOLD_RISK}
+    SELECT id, risk_score, found_count, p95_amount_type FROM scored) t
+  UNION ALL SELECT 'after', t.* FROM (
+    WITH {GOLD_RISK} SELECT id, risk_score, found_count, p95_amount_type FROM scored) t
+) SELECT s.stage, a.id AS asked, coalesce(risk_score, 0) AS risk_score, coalesce(found_count, 0) AS found_count,
+  p95_amount_type AS p95
+FROM asked a CROSS JOIN (VALUES ('before'), ('after')) AS s(stage)
+LEFT JOIN stages ON stages.id = a.id AND stages.stage = s.stage""",
+    "stream_late_rows": """, r AS (
+  SELECT timestamp, fraud_prediction, timestamp < TIMESTAMP '2024-01-20 12:00:00' AND id % 10 = 0 AS late FROM scored_transactions
+), b AS (
+  SELECT CAST(floor(epoch_us(timestamp) / 1000000 / 10) * 10 AS BIGINT) AS timestamp, count(*) AS total,
+    count(*) FILTER (fraud_prediction) AS fraud, count(*) FILTER (NOT fraud_prediction) AS legit
+  FROM r WHERE NOT late GROUP BY 1
+) SELECT 'bucket' AS kind, timestamp, total, fraud, legit FROM b
+WHERE (timestamp + 10) * 1000 <= (SELECT floor(epoch_us(max(timestamp)) / 1000) - 3600000 FROM r)
+UNION ALL SELECT 'late', NULL, count(*), NULL, NULL FROM r WHERE late""",
+    "stream_expectations": f"""SELECT rule, violations FROM (
+  SELECT 'total_rows' AS rule, count(*) AS violations FROM ({DOUBTFUL})
+  UNION ALL SELECT 'correct_data', count(*) FILTER (id IS NULL) FROM ({DOUBTFUL})
+  UNION ALL SELECT 'correct_customer_id', count(*) FILTER (customer_id IS NULL) FROM ({DOUBTFUL})
+  UNION ALL SELECT 'correct_amount', count(*) FILTER (amount IS NULL OR amount <= 0) FROM ({DOUBTFUL}))""",
+    "stream_by_the_clock": """SELECT id, type, amount, true AS several_batches
+FROM scored_transactions""",
     "stream_metrics": METRICS,
     "stream_country_flows": FLOWS,
     "stream_time_buckets": BUCKETS,
@@ -469,6 +578,24 @@ WHERE countryOrig = 'N05' OR countryDest = 'N05' UNION ALL SELECT 'gained', 0"""
     "stream_cdc_current": CURRENT,
 }
 
+SECTIONS = (
+    ("overall", "''", ("total_transactions", "total_fraud", "fraud_rate"), "overall_stats"),
+    ("type_frequencies", "type", ("count", "fraud_count", "weight"), "type_frequencies"),
+    ("country_pairs", "countryOrig_name || '/' || countryDest_name", ("count", "fraud_count", "weight", "fraud_rate"), "country_pairs_top80"),
+    (
+        "numeric_profiles", "type || '/' || CAST(is_fraud AS STRING)",
+        ("count", *[f"{f}_{s}" for f in PROFILED for s in ("mean", "stddev", "min", "max", "p10", "p25", "p50", "p75", "p90")]),
+        "numeric_profile",
+    ),
+)
+QUERIES["profile_json_sink"] = " UNION ALL ".join(
+    ["SELECT 'metadata' AS section, '' AS key, 'profiled_at' AS figure, epoch(TIMESTAMP '2024-01-01 00:00:00') AS value"]
+    + [
+        _figures(section, key, columns, f"WITH {sql[1:]}" if (sql := QUERIES[name].strip()).startswith(",") else sql)
+        for section, key, columns, name in SECTIONS
+    ]
+)
+
 
 def oracle_sql() -> dict[str, str]:
     tables = ",\n".join(f"{name} AS ({body})" for name, body in TABLES.items())

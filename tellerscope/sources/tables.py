@@ -55,6 +55,28 @@ def merge_insert_only(source: DataFrame, target_path: str, key: str = "id") -> N
     rows.write.mode("append").parquet(target_path)
 
 
+def merge_into_bucketed(source: DataFrame, table: str, key: str = "id", buckets: int = 64, location: str | None = None) -> None:
+    """As ``merge_insert_only``, into a catalog table whose files are bucketed by ``key``.
+
+    Only the source is shuffled, to the table's buckets; the table is read bucket by bucket and
+    never moved. The first call makes the table, with ``buckets`` of them, which then stay.
+    The source should itself be a table or cheap to compute twice.
+    """
+    spark = source.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        spec = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        buckets = int(spec["Num Buckets"])
+        # Rows without a key are appended each time; they would only burden one bucket.
+        keyed = source.filter(F.col(key).isNotNull()).join(spark.table(table).select(key), key, "left_anti")
+        source = keyed.unionByName(source.filter(F.col(key).isNull()))
+    dealt = source.repartition(buckets, key)  # one file per bucket
+    writer = dealt.write.bucketBy(buckets, key).sortBy(key).mode("append")
+    if location and not exists:
+        writer = writer.option("path", location)
+    writer.saveAsTable(table)
+
+
 def relabel(target: DataFrame, reports: DataFrame, key: str = "id") -> DataFrame:
     """Target rows, with labels that arrived after they were loaded (a fraud label wins).
 

@@ -19,7 +19,8 @@ from tellerscope.operators.medallion import TXN_RULES, observe_expectations, sil
 from tellerscope.operators.ml import NUMERIC, predict
 from tellerscope.schemas import SCORED
 from tellerscope.sources.messages import parse_messages
-from tellerscope.sources.tables import BATCH, folder_name, insert_if_absent, run_name
+from tellerscope.sources import levels, published
+from tellerscope.sources.tables import folder_name, insert_if_absent, run_name
 
 MICRO_BATCH = {"processingTime": "2 seconds"}
 ONCE = {"availableNow": True}
@@ -105,14 +106,18 @@ def stream_country_flows(scored: DataFrame) -> DataFrame:
 
 
 def stream_time_buckets(
-    scored: DataFrame, seconds: int = 10, delay: str | None = None
+    scored: DataFrame, seconds: int = 10, delay: str | None = None, key: str | None = None
 ) -> DataFrame:
     """Counts per tumbling bucket.
 
     With ``delay`` the watermark bounds the state and rows later than it are dropped
-    (append or update mode); without it every bucket is kept (complete mode).
+    (append or update mode); without it every bucket is kept (complete mode). With ``key`` as
+    well, rows of one key and time count once, and each late row is reported by itself: an
+    aggregation alone reports them after they were combined. See ``progress.batches``.
     """
     rows = scored.withWatermark("timestamp", delay) if delay else scored
+    if delay and key:
+        rows = rows.dropDuplicates([key, "timestamp"])
     counts = rows.groupBy(F.window("timestamp", f"{seconds} seconds").alias("w")).agg(
         *bucket_counts()
     )
@@ -138,16 +143,18 @@ def dedup_into(
     key: str = "id",
     order: tuple[str, ...] = ("timestamp",),
     trigger: dict | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Store the first row per key for good: each batch inserts only keys ``target`` lacks."""
     run = run_name(stream.sparkSession, checkpoint)
+    writer = stream.writeStream.queryName(name) if name else stream.writeStream
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             insert_if_absent(batch, target, batch_id, key, order, run)
 
     return (
-        stream.writeStream.foreachBatch(write)
+        writer.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or MICRO_BATCH))
         .start()
@@ -158,11 +165,15 @@ def publish_latest(
     result: DataFrame, target: str, checkpoint: str, mode: str = "complete",
     trigger: dict | None = None, top_n: int | None = None,
 ) -> StreamingQuery:
-    """Keep ``target`` equal to the newest result of a running aggregate."""
+    """Keep ``target`` equal to the newest result of a running aggregate.
+
+    Each batch is a version of its own, which ``read_latest`` sees once it is finished.
+    """
+    run = run_name(result.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = top_flows(batch, top_n) if top_n else batch
-        rows.write.mode("overwrite").parquet(target)
+        published.publish(rows, target, folder_name(batch_id, run))
 
     return (
         result.writeStream.outputMode(mode)
@@ -173,6 +184,11 @@ def publish_latest(
     )
 
 
+def read_latest(spark: SparkSession, target: str) -> DataFrame | None:
+    """What ``publish_latest`` finished last, as a whole; ``None`` before its first batch."""
+    return published.read(spark, target)
+
+
 def stream_current(
     log_stream: DataFrame,
     target: str,
@@ -184,17 +200,16 @@ def stream_current(
 ) -> StreamingQuery:
     """Reduce each batch of the log to the newest change per key and keep it.
 
-    A batch replaces its own folder, so a retry changes nothing, and no batch, nor a stream
-    on a new checkpoint, rewrites what earlier ones stored. ``read_current`` resolves them.
+    The kept log has levels that are merged when they are full: its folders, and what a read
+    costs, grow with the logarithm of the batches (see ``levels``). A batch that is retried,
+    or a stream on a new checkpoint, changes nothing that is stored. Deletes are kept, so that
+    an older change that comes late doesn't bring a key back. ``read_current`` resolves them.
     """
     run = run_name(log_stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        last_changes(batch, key, seq, change).write.mode("overwrite").parquet(
-            f"{target}/{BATCH}={folder_name(batch_id, run)}"
-        )
+        if not batch.isEmpty():
+            levels.append(batch, target, batch_id, run, lambda rows: last_changes(rows, key, seq, change))
 
     return (
         log_stream.filter(F.col(change).isin(*STATE_CHANGES))
@@ -209,4 +224,7 @@ def read_current(
     spark: SparkSession, target: str, key: str = "id", seq: str = "_lsn", change: str = "_change_type"
 ) -> DataFrame:
     """Current rows from the reduced log ``stream_current`` keeps."""
-    return current_state(spark.read.parquet(target).drop(BATCH), key, seq, change)
+    kept = levels.read(spark, target)
+    if kept is None:
+        raise ValueError(f"{target} holds no change yet")
+    return current_state(kept, key, seq, change)

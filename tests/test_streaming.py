@@ -25,7 +25,7 @@ def finish(spark, folder, result, mode, **options):
     jobs.publish_latest(
         result, target, f"{folder}/checkpoint", mode, jobs.ONCE, **options
     ).awaitTermination()
-    return spark.read.parquet(target)
+    return jobs.read_latest(spark, target)
 
 
 def same(a, b):
