@@ -316,6 +316,20 @@ def insert_if_absent(b: Bank) -> DataFrame:
     return tables.read_scored(b.spark, target).select("id", "type", "amount")
 
 
+@query
+def insert_indexed(b: Bank) -> DataFrame:
+    """As ``insert_if_absent``, through the index of keys; the first rows were stored without one."""
+    target = work_dir(b.spark, "scored")
+    part = lambda n: b.scored.filter(F.col("id") % 3 == n)
+    tables.insert_if_absent(part(0), target, 0, run="old")
+    for batch in (0, 1, 1):  # a retried batch changes nothing
+        again = b.scored.filter(F.col("id") % 3 <= batch + 1)
+        later = F.col("timestamp") + F.make_dt_interval(hours=F.lit(1))
+        copies = again.withColumns({"amount": F.col("amount") + 1, "timestamp": later})
+        tables.insert_indexed(part(batch + 1).unionByName(copies), target, batch, run="new", buckets=16)
+    return tables.read_scored(b.spark, target).select("id", "type", "amount")
+
+
 @query
 def merge_insert_only(b: Bank) -> DataFrame:
     target = work_dir(b.spark, "silver")

@@ -33,7 +33,15 @@ def manifest(spark: SparkSession, path: str, name: str | None = None) -> dict:
 
 
 def _read(spark: SparkSession, path: str, wanted: list[str]) -> DataFrame:
-    return spark.read.parquet(*[f"{path}/data/{name}" for name in wanted])
+    """The rows of some folders, which may be partitioned: each is read for itself."""
+    rows = spark.read.parquet(f"{path}/data/{wanted[0]}")
+    for name in wanted[1:]:
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{path}/data/{name}"))
+    return rows
+
+
+def _plain(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").parquet(path)
 
 
 def append(
@@ -43,11 +51,13 @@ def append(
     run: str,
     reduce: Callable[[DataFrame], DataFrame],
     fanout: int = FANOUT,
+    write: Callable[[DataFrame, str], None] = _plain,
 ) -> None:
     """Add a batch, then merge the levels that are full. One writer at a time.
 
     ``reduce`` keeps what counts of any rows, and may be applied to its own results. Batches
-    of a ``run`` come in order; one that is already in the state is not added again.
+    of a ``run`` come in order; one that is already in the state is not added again. ``write``
+    puts rows into a new folder.
     """
     spark = batch.sparkSession
     state = manifest(spark, path)
@@ -55,12 +65,14 @@ def append(
         return
     number = int(_manifests(spark, path)[-1]) + 1 if state["applied"] else 0
     name = f"{number:012d}-0"
-    reduce(batch).write.mode("overwrite").parquet(f"{path}/data/{name}")
-    now = [*map(tuple, state["folders"]), (0, name)]
+    write(reduce(batch), f"{path}/data/{name}")
+    now = [*map(tuple, state["folders"])]
+    if folders.names(spark, f"{path}/data/{name}"):  # no rows may mean no file
+        now.append((0, name))
     level = 0
     while len(full := [n for at, n in now if at == level]) >= fanout:
         name = f"{number:012d}-{level + 1}"
-        reduce(_read(spark, path, full)).write.mode("overwrite").parquet(f"{path}/data/{name}")
+        write(reduce(_read(spark, path, full)), f"{path}/data/{name}")
         now = [(at, n) for at, n in now if at != level] + [(level + 1, name)]
         level += 1
     state = {"folders": now, "applied": {**state["applied"], run: batch_id}}

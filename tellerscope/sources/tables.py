@@ -12,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tellerscope.functions.sizing import input_bytes
 from tellerscope.functions.skew import one_per_key, skew_hints, skew_join
+from tellerscope.sources import folders, key_index
 
 BATCH = "batch_id"
 
@@ -137,6 +138,51 @@ def insert_if_absent(
         first.unpersist()
 
 
+def insert_indexed(
+    batch: DataFrame,
+    target_path: str,
+    batch_id: int,
+    key: str = "id",
+    order: Sequence[str] = ("timestamp",),
+    run: str = "",
+    buckets: int = key_index.BUCKETS,
+) -> None:
+    """As ``insert_if_absent``, with an index of the target's keys beside it.
+
+    A batch opens only files of the index that can hold its keys, and none of the target, so its
+    cost doesn't grow with what is stored. The index follows the rows: a batch that was lost
+    between the two is written again with the same rows, and one that the index holds is done.
+    All writers of a target have to use the index; a target that has none yet gets it first.
+    """
+    spark, index = batch.sparkSession, index_path(target_path)
+    run = run or "batches"
+    if key_index.is_empty(spark, index):
+        stored = read_target(spark, target_path)
+        if stored is not None:
+            name = folder_name(batch_id, run)
+            stored = stored.filter(F.col(BATCH).cast("string") != name)
+            key_index.add(stored.select(key).distinct(), index, 0, "stored before", key, buckets)
+    if key_index.applied(spark, index, batch_id, run):
+        return
+    ties = [c for c, t in batch.dtypes if c not in (key, *order) and not t.startswith("map")]
+    first = one_per_key(
+        batch.filter(F.col(key).isNotNull()), key, [*order, *ties], newest=False
+    )
+    first = first.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        known = key_index.present(first, index, key, buckets)
+        rows = first if known is None else first.join(known, key, "left_anti")
+        own = f"{target_path}/{BATCH}={folder_name(batch_id, run)}"
+        rows.select(*batch.columns).write.mode("overwrite").parquet(own)
+        key_index.add(spark.read.schema(batch.schema).parquet(own), index, batch_id, run, key, buckets)
+    finally:
+        first.unpersist()
+
+
+def index_path(target_path: str) -> str:
+    return f"{target_path.rstrip('/')}_keys"
+
+
 def _present(target: DataFrame, batch: DataFrame, name: str, key: str) -> DataFrame:
     """Keys of ``batch`` that other batches wrote.
 
@@ -155,7 +201,8 @@ def read_scored(spark: SparkSession, target_path: str) -> DataFrame:
 
 
 def reset(spark: SparkSession, target_path: str) -> None:
-    """Empty the table but keep its schema."""
+    """Empty the table but keep its schema. An index of its keys goes."""
+    folders.remove(spark, index_path(target_path))
     current = read_target(spark, target_path)
     if current is None:
         return

@@ -20,7 +20,7 @@ from tellerscope.operators.ml import NUMERIC, predict
 from tellerscope.schemas import SCORED
 from tellerscope.sources.messages import parse_messages
 from tellerscope.sources import levels, published
-from tellerscope.sources.tables import folder_name, insert_if_absent, run_name
+from tellerscope.sources.tables import folder_name, insert_indexed, run_name
 
 MICRO_BATCH = {"processingTime": "2 seconds"}
 ONCE = {"availableNow": True}
@@ -84,7 +84,7 @@ def stream_score(
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        insert_if_absent(batch, target, batch_id, run=run)
+        insert_indexed(batch, target, batch_id, run=run)
 
     return (
         score_messages(messages, model)
@@ -145,13 +145,16 @@ def dedup_into(
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Store the first row per key for good: each batch inserts only keys ``target`` lacks."""
+    """Store the first row per key for good: each batch inserts only keys ``target`` lacks.
+
+    Its keys are looked up in the index of the target's keys (see ``key_index``).
+    """
     run = run_name(stream.sparkSession, checkpoint)
     writer = stream.writeStream.queryName(name) if name else stream.writeStream
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            insert_if_absent(batch, target, batch_id, key, order, run)
+            insert_indexed(batch, target, batch_id, key, order, run)
 
     return (
         writer.foreachBatch(write)

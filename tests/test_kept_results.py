@@ -3,12 +3,13 @@
 import math
 import os
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from tellerscope.operators import baseline_store, cdc, risk
-from tellerscope.sources import folders, levels, published
+from tellerscope.operators import baseline_store, cdc, ml, risk
+from tellerscope.sources import folders, key_index, levels, published, tables
 from tellerscope.streaming import jobs, progress
 
 
@@ -178,3 +179,81 @@ def test_late_rows_are_counted_one_by_one(spark, folder):
              .trigger(**jobs.ONCE).start().awaitTermination())
     assert {(r.timestamp, r.total) for r in spark.read.parquet(f"{folder}/out").collect()} == {(1704067200, 1), (1704067800, 1)}
     assert progress.batches(spark, f"{folder}/log").agg(F.sum("late_rows")).first()[0] == 3
+
+
+# --- index of keys, bucketed merge
+
+
+def scans(df):
+    """(files, rows) that the scans of ``df`` read, after it ran."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return [m.get("numFiles").get().value() for m in metrics if m.contains("numFiles")]
+
+
+def test_files_read_by_a_lookup_do_not_grow(spark, folder):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = {}
+        for batch in range(16):
+            rows = spark.range(batch * 400, (batch + 1) * 400)
+            key_index.add(rows, f"{folder}/keys", batch, "run", buckets=32)
+            if batch in (3, 15):
+                few = spark.createDataFrame([(7,), (100_000,), (399,)], "id long")
+                found = key_index.present(few, f"{folder}/keys", buckets=32)
+                read[batch] = max(scans(found))
+                assert sorted(r.id for r in found.collect()) == [7, 399]
+        assert read[3] == read[15] <= 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_batch_lost_before_its_keys_were_stored_is_written_again(spark, folder):
+    schema = "id long, timestamp timestamp, v string"
+    batch = spark.createDataFrame([(1, None, "a"), (2, None, "b")], schema)
+    tables.insert_indexed(batch, f"{folder}/t", 0, run="run")
+    index = tables.index_path(f"{folder}/t")
+    shutil.rmtree(index)  # the driver was lost between rows and keys: batch 0 runs again
+    tables.insert_indexed(batch, f"{folder}/t", 0, run="run")
+    tables.insert_indexed(batch, f"{folder}/t", 0, run="run")  # lost after its keys: nothing to do
+    tables.insert_indexed(spark.createDataFrame([(2, None, "x"), (3, None, "c"), (None, None, "n")], schema), f"{folder}/t", 1, run="run")
+    assert sorted((r.id, r.v) for r in tables.read_scored(spark, f"{folder}/t").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    tables.reset(spark, f"{folder}/t")
+    assert tables.read_scored(spark, f"{folder}/t").count() == 0
+    tables.insert_indexed(batch, f"{folder}/t", 5, run="run")
+    assert tables.read_scored(spark, f"{folder}/t").count() == 2
+
+
+def test_a_bucketed_target_is_not_moved(spark, folder):
+    """The only exchanges of a merge are above the source."""
+    table = "bucketed_" + os.path.basename(folder).replace("-", "_")
+    rows = spark.range(500).selectExpr("id", "id * 2 AS v")
+    tables.merge_into_bucketed(rows, table, buckets=4, location=f"{folder}/t")
+    tables.merge_into_bucketed(spark.range(400, 600).selectExpr("id", "-1L AS v"), table)
+    tables.merge_into_bucketed(spark.createDataFrame([(None, 0), (None, 0)], "id long, v long"), table)
+    assert spark.table(table).count() == 602 and spark.table(table).filter("v = -1").count() == 100
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        source = spark.range(400, 700).selectExpr("id", "-2L AS v")
+        plan = source.join(spark.table(table).select("id"), "id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+        right = plan[plan.index("Scan parquet") - 400 :]
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "Exchange" not in right.split("Scan parquet")[1]
+        assert plan.index("Exchange") < plan.index("Scan parquet")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    tables.drop_pipeline(spark, [table])
+
+
+def test_ranked_area(spark):
+    rows = [(0.1, 0), (0.4, 1), (0.4, 0), (0.4, 0), (0.8, 1), (0.9, 0), (0.9, 1), (None, 1), (0.5, None)]
+    df = spark.createDataFrame(rows, "fraud_probability double, label int")
+    known = [(s, y) for s, y in rows if s is not None and y is not None]
+    pairs = [(s > t) + (s == t) / 2 for s, y in known if y for t, z in known if not z]
+    for parts in (1, 3, 50):
+        found = ml.ranked_auc(df, parts=parts).first()
+        assert tuple(found) == (3, 4, pytest.approx(100 * sum(pairs) / len(pairs)))
+    assert tuple(ml.ranked_auc(df.filter("label = 1")).first()) == (4 - 1, 0, None)
+    assert tuple(ml.ranked_auc(df.limit(0)).first()) == (0, 0, None)
