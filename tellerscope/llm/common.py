@@ -32,6 +32,11 @@ def kept(key: Hashable, make: Callable[[], object]):
     return _KEPT[key]
 
 
+def let_go() -> None:
+    """Drops what other steps left in this worker."""
+    _KEPT.clear()
+
+
 #: Bytes of a batch that goes to a Python worker; a longer row is a batch of its own.
 BATCH_BYTES = 4 << 20
 

@@ -19,7 +19,8 @@ from array import array
 import numpy as np
 
 IDS = np.dtype("<u2")
-#: Bytes of pieces that a worker keeps; each takes some 130 bytes besides its own.
+#: Bytes of pieces of one generation, of which a worker keeps two; each piece takes some 130
+#: bytes besides its own.
 MOST_BYTES = 48 << 20
 PIECE_BYTES = 130
 
@@ -34,6 +35,8 @@ def _bytes(ids: list[int]) -> bytes:
 class Pieces(dict):
     """Pieces to the bytes of their ids, encoded when first asked for.
 
+    When there are too many they become the old generation, out of which those that are asked
+    for again come back.
     ``lead`` stands before each piece in the text. None marks a piece that begins or ends with
     white space, or is empty, where that would change how its neighbours are encoded.
     """
@@ -41,6 +44,7 @@ class Pieces(dict):
     def __init__(self, library, lead: str, blanks: bool):
         super().__init__()
         self.library, self.lead, self.blanks, self.bytes = library, lead, blanks, 0
+        self.old: dict[str, bytes | None] = {}
         # How byte-level vocabularies write bytes: visible ones as themselves, others from U+0100.
         seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in set(seen)]
@@ -65,7 +69,7 @@ class Pieces(dict):
             word = word.lower()
             if not word.isalpha():
                 return None
-        found = self.get(word)
+        found = self.get(word) or self.old.get(word)
         if found is None:
             letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.written)
             found = _bytes([t.id for t in self.library.model.tokenize(self.lead_written + letters)])
@@ -74,7 +78,9 @@ class Pieces(dict):
         return found + stop if stop else found
 
     def __missing__(self, piece: str) -> bytes | None:
-        if self.blanks and (not piece or piece[0].isspace() or piece[-1].isspace()):
+        if piece in self.old:
+            ids = self.old[piece]
+        elif self.blanks and (not piece or piece[0].isspace() or piece[-1].isspace()):
             ids = None
         else:
             ids = self._word(piece)
@@ -84,8 +90,9 @@ class Pieces(dict):
         self.bytes += PIECE_BYTES + len(piece) + len(ids or b"")
         return ids
 
-    def clear(self) -> None:
-        super().clear()
+    def grow_old(self) -> None:
+        self.old = dict(self)
+        self.clear()
         self.bytes = 0
 
 
@@ -113,7 +120,7 @@ class LibraryEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         for cache in (self.first, self.later):
             if cache.bytes > MOST_BYTES:
-                cache.clear()
+                cache.grow_old()
         return [self._one(t) for t in texts]
 
     def _one(self, text: str) -> bytes:

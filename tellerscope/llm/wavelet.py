@@ -2,7 +2,7 @@
 
 The matrix keeps one bit plane per bit of the ids, highest first; each plane is the sequence
 stably sorted by the bits before it. A rank directory with one count per 512 bits makes
-access, counting and occurrence lookup a walk over the planes, without unpacking the shard.
+access, counting and occurrence lookup a walk over the planes, without restoring the ids.
 A file holds a head, the documents' ids and lengths, and the planes, each compressed.
 """
 
