@@ -963,6 +963,20 @@ def stream_dedup(b: Bank) -> DataFrame:
     return tables.read_scored(b.spark, target).select("id", "type", "amount")
 
 
+@query
+def stream_dedup_window(b: Bank) -> DataFrame:
+    """Each row twice; one of the two passes, without a look at what is stored."""
+    target = work_dir(b.spark, "unique")
+    twice = _event_stream(b).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    (
+        jobs.dedup(twice.select("id", "type", "amount"), delay="1 hour")
+        .writeStream.format("parquet").option("path", target)
+        .option("checkpointLocation", f"{target}-checkpoint")
+        .trigger(**jobs.ONCE).start().awaitTermination()
+    )
+    return b.spark.read.parquet(target)
+
+
 @query
 def stream_cdc_current(b: Bank) -> DataFrame:
     log, target = work_dir(b.spark, "log"), work_dir(b.spark, "current")

@@ -574,6 +574,7 @@ FROM scored_transactions""",
     "stream_metrics": METRICS,
     "stream_country_flows": FLOWS,
     "stream_time_buckets": BUCKETS,
+    "stream_dedup_window": "SELECT id, type, amount FROM scored_transactions",
     "insert_indexed": "SELECT id, type, amount FROM scored_transactions",
     "stream_dedup": "SELECT id, type, amount FROM scored_transactions",
     "stream_cdc_current": CURRENT,

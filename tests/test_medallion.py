@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tellerscope.functions import sizing
 from tellerscope.operators import medallion
 from tellerscope.operators.medallion import Rule
 from tellerscope.plans import pipeline
@@ -155,3 +156,19 @@ def test_unreadable_balances_are_counted(spark):
     clean, metrics = medallion.apply_expectations(rows, medallion.BALANCE_RULES)
     counts = {r.rule: r.violations for r in metrics.collect()}
     assert clean.count() == 2 and counts["readable_balances"] == 1 and counts["correct_amount"] == 0
+
+
+def test_small_sides_are_broadcast_by_their_size_alone(spark, bank):
+    """Without statistics a checked country table is broadcast; one over the limit is not."""
+    rows = spark.range(50).selectExpr("id", "repeat('x', 100) AS text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = medallion.gold(bank.silver, bank.countries, bank.customers)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2
+        for limits, hinted in (({}, True), ({"max_rows": 49}, False), ({"max_bytes": 4000}, False)):
+            for fn in (sizing.broadcast_if_small, sizing.pin_small):
+                side = fn(rows, **limits)
+                joined = spark.range(9).join(side, "id")._jdf.queryExecution().executedPlan().toString()
+                assert ("BroadcastHashJoin" in joined) == hinted and side.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
