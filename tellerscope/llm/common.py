@@ -15,13 +15,13 @@ from tellerscope.session import work_dir
 
 
 _KEPT: dict[Hashable, object] = {}
-MOST_KEPT = 2
+MOST_KEPT = 1
 
 
 def kept(key: Hashable, make: Callable[[], object]):
     """What ``make`` gives, once per Python worker: a worker serves many tasks.
 
-    A worker outlives a job, so only the last ``MOST_KEPT`` things stay.
+    A worker outlives a job, so only the last ``MOST_KEPT`` things stay: a step uses one at a time.
     """
     if key in _KEPT:
         _KEPT[key] = _KEPT.pop(key)  # now the newest

@@ -21,7 +21,7 @@ import numpy as np
 IDS = np.dtype("<u2")
 #: Bytes of pieces of one generation, of which a worker keeps two; each piece takes some 130
 #: bytes besides its own.
-MOST_BYTES = 48 << 20
+MOST_BYTES = 24 << 20
 PIECE_BYTES = 130
 
 

@@ -22,6 +22,7 @@ So each pair of different components that shares a bucket of the last deal is co
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import kept, slices, spread_join, stored, text_or_empty
+from tellerscope.llm.common import slices, spread_join, stored, text_or_empty
 from tellerscope.llm.components import components
 from tellerscope.llm.ngram_join import class_sets, family_links, shingles, similar_pairs
 
@@ -55,6 +56,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+@functools.cache
 def _probes() -> np.ndarray:
     """For each bin, when it asks each other bin for its value: an order of its own."""
     return np.argsort(np.random.default_rng(13).random((BANDS * ROWS, BANDS * ROWS)), axis=1)
@@ -71,7 +73,7 @@ def signature(found: np.ndarray, deal: int = 0) -> np.ndarray:
     out[filled] = values[first]
     if len(filled) < bins:
         empty = np.setdiff1d(np.arange(bins), filled, assume_unique=True)
-        asked = kept("bin probes", _probes)[np.ix_(empty, filled)]
+        asked = _probes()[np.ix_(empty, filled)]
         out[empty] = out[filled[asked.argmin(axis=1)]]
     return out
 
