@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import stored, text_or_empty
+from tellerscope.llm.common import stored, text_or_empty, tidied
 
 KEYS_PER_SHARD = 16_384
 HOT_SHARE = 1000
@@ -172,7 +172,7 @@ def build_index(catalog: DataFrame, purpose: str = "digest-index") -> tuple[Data
 
     keyed = catalog.select(_shard(shards).alias("shard"), "digest", "winner", "size")
     dealt = keyed.repartition("shard").sortWithinPartitions("shard")
-    return stored(dealt.mapInArrow(build, "shard int, blob binary"), purpose), shards
+    return stored(dealt.mapInArrow(tidied(build), "shard int, blob binary"), purpose), shards
 
 
 def heavy(catalog: DataFrame) -> list[bytes]:
@@ -194,7 +194,7 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
     copies = F.array(F.lit(0))
     if hot:
         spark = rows.sparkSession
-        named = spark.createDataFrame([(bytearray(h),) for h in hot], "digest binary")
+        named = spark.createDataFrame(pa.table({"digest": pa.array(hot, pa.binary())}))
         hot_shards = [r[0] for r in named.select(_shard(shards)).distinct().collect()]
         copies = F.when(F.col("shard").isin(hot_shards), F.sequence(F.lit(0), F.lit(WAYS - 1))).otherwise(copies)
     tables = index.select("shard", F.explode(copies).alias("way"), F.lit(0).alias("kind"), none("binary").alias("digest"), none("long").alias("doc_id"), none("long").alias("text_hash"), "blob")
@@ -234,7 +234,7 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int, hot: list[bytes]) ->
                 )
 
     met = tables.unionByName(asks).repartition("shard", "way").sortWithinPartitions("shard", "way", "kind", "digest", "doc_id")
-    return met.mapInArrow(find, "doc_id long, text_hash long, digest binary, winner long, size long, member boolean, first_copy boolean")
+    return met.mapInArrow(tidied(find), "doc_id long, text_hash long, digest binary, winner long, size long, member boolean, first_copy boolean")
 
 
 def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellerscope.llm.common import map_rows, spread_join, stored
+from tellerscope.llm.common import map_rows, spread_join, stored, tidied
 
 # Where units end, for Python and Java alike: a unit keeps the separator behind it.
 ENDS = {"paragraph": r"(?<=\n\n)", "line": r"(?<=\n)", "sentence": r"(?<=\n)|(?<=[.!?] )"}
@@ -109,7 +109,7 @@ def units(docs: DataFrame, unit: str = "run", min_words: int = MIN_WORDS) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text_hash", "number", "last", "start", "stop", "digest"])
 
     rows = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(split, "doc_id long, text_hash long, number int, last int, start long, stop long, digest binary")
+    return rows.mapInArrow(tidied(split), "doc_id long, text_hash long, number int, last int, start long, stop long, digest binary")
 
 
 def repeats(found: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tellerscope.llm.common import kept, map_rows, slices, stored, text_or_empty
+from tellerscope.llm.common import kept, map_rows, slices, stored, text_or_empty, tidied
 from tellerscope.llm.library_tokens import IDS, LibraryEncoder
 
 WINDOW = 2048
@@ -37,10 +37,10 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """The pieces of every document with the checksum of their ids."""
-    end = np.array([end_id], IDS).tobytes()
+    end, cache = np.array([end_id], IDS).tobytes(), ("words", vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept(("words", vocabulary), lambda: LibraryEncoder(vocabulary, blanks=False))
+        encoder = kept(cache, lambda: LibraryEncoder(vocabulary, blanks=False))
         for batch in batches:
             for part in slices(batch, batch["bytes"].to_pylist(), 1 << 20):
                 rows = []
@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int =
 
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).alias("bytes"))
-    return rows.mapInArrow(cut, PIECES)
+    return rows.mapInArrow(tidied(cut, cache), PIECES)
 
 
 # --- the plan -----------------------------------------------------------------------------
